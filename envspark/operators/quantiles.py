@@ -27,21 +27,23 @@ def exact_quantiles(df: DataFrame, group: str, labels: Sequence[str], value: str
     The groups are those of a given list of labels, which bounds the ranks that
     are looked for and therefore what is broadcast.
     """
+    # NULL and NaN are left out by counting, not by a filter: a filter on a computed
+    # value would be pushed down and repeat its whole expression for every mention.
     buckets = buckets or default_buckets(df)
-    known = df.select(group, F.col(value).cast("double").alias("v")).filter(
-        F.col(group).isin(*labels) & F.col("v").isNotNull() & ~F.isnan("v"))
+    known = df.select(group, F.col(value).cast("double").alias("v"))
+    usable = F.count(F.when(~F.isnan("v"), F.col("v")))
     cuts = sorted(set(known.approxQuantile("v", [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)))
                   ) if buckets > 1 else []
     if cuts:
-        cutter = Bucketizer(splits=[-_INF, *cuts, _INF], inputCol="v", outputCol="b")
-        bucketed = cutter.transform(known).withColumn("b", F.col("b").cast("int"))
+        cutter = Bucketizer(splits=[-_INF, *cuts, _INF], inputCol="v", outputCol="b", handleInvalid="keep")
+        bucketed = cutter.transform(known).withColumn("b", F.coalesce(F.col("b").cast("int"), F.lit(-1)))
     else:
         bucketed = known.withColumn("b", F.lit(0))
 
     # bounded: one row per group and bucket
-    sizes = bucketed.groupBy(group, "b").agg(F.count("*").alias("n"))
+    sizes = bucketed.groupBy(group, "b").agg(usable.alias("n"))
     by_group = Window.partitionBy(group)
-    spans = sizes.select(
+    spans = sizes.filter(F.col(group).isin(*labels)).select(
         group, "b", "n", F.sum("n").over(by_group).alias("total"),
         F.coalesce(F.sum("n").over(by_group.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("start"))
@@ -56,7 +58,7 @@ def exact_quantiles(df: DataFrame, group: str, labels: Sequence[str], value: str
     # bounded: at most two rows per label and probability
     touched = ranks.select(group, "b", "start").distinct()
     candidates = (bucketed.join(F.broadcast(touched), [group, "b"])
-                  .groupBy(group, "b", "start", "v").agg(F.count("*").alias("k")))
+                  .groupBy(group, "b", "start", "v").agg(usable.alias("k")))
     running = (Window.partitionBy(group, "b").orderBy("v")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     runs = candidates.withColumn("end", F.col("start") + F.sum("k").over(running))

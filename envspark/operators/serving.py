@@ -43,14 +43,14 @@ def filter_predictions(df: DataFrame, zone: str = "all", category: str = "all")
 
 
 def page(df: DataFrame, number: int = 1, per_page: int = PER_PAGE,
-         buckets: OrderBuckets | None = None) -> DataFrame:
+         buckets: OrderBuckets | None = None, shallow: int = SHALLOW_ROWS) -> DataFrame:
     """Rows of one 1-based page in (datetime, reading_id) order.
 
     Near the front this is a per-task top-n. Deeper pages are found by counting
     rows per bucket, which leaves only the buckets of the page to be sorted.
     """
     start = (number - 1) * per_page
-    if start + per_page <= SHALLOW_ROWS:
+    if start + per_page <= shallow:
         return df.orderBy("datetime", "reading_id").offset(start).limit(per_page)
     position = "_position"
     return numbered(df, buckets or fit_order_buckets(df), position, start + 1,
