@@ -48,8 +48,8 @@ def nullify_sentinels(df: DataFrame, columns: Sequence[str] = MEASURES,
     def cleaned(name):
         # NaN equals itself in Spark, so one IN covers it too and the column is
         # written out only twice when later filters are pushed through here
-        missing = [float(v) for v in overrides.get(name, sentinels)] + [float("nan")]
-        return F.when(F.col(name).isin(missing), F.lit(None)).otherwise(F.col(name))
+        missing = [f"{float(v)!r}D" for v in overrides.get(name, sentinels)] + ["double('NaN')"]
+        return F.expr(f"CASE WHEN {name} IN ({', '.join(missing)}) THEN NULL ELSE {name} END")
 
     return df.withColumns({c: cleaned(c) for c in _present(df, columns)})
 
