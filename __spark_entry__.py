@@ -95,9 +95,10 @@ def repartition_count(spark, sf_dir):
 
 def parse_timestamp(spark, sf_dir):
     """Readings whose datetime is text; every eleventh one is written in another format."""
-    text = F.when(F.col("reading_id") % 11 == 0, F.date_format("datetime", "yyyy/MM/dd HH:mm")).otherwise(
-        F.date_format("datetime", "yyyy-MM-dd HH:mm:ss"))
-    raw = _readings(spark, sf_dir).select("reading_id", text.alias("datetime"))
+    text = F.col("datetime").cast("string")
+    slashed = F.translate(F.substring(text, 1, 16), "-", "/")
+    raw = _readings(spark, sf_dir).select(
+        "reading_id", F.when(F.col("reading_id") % 11 == 0, slashed).otherwise(text).alias("datetime"))
     return temporal.with_timestamp(raw).select("reading_id", "datetime", "timestamp")
 
 

@@ -12,6 +12,8 @@ from envspark.operators.quality import column_means, fill_missing
 from envspark.operators.windows import OrderBuckets, fit_order_buckets, windowed
 from envspark.profiles import LAG_FEATURES, LAGS, POLLUTANTS, Profile, profile_of
 
+MAX_BANDS = 1000
+
 
 def with_sub_indices(df: DataFrame, profile: str | Profile) -> DataFrame:
     return df.withColumns({f"aqi_{p}": indices.sub_index(p, profile) for p in POLLUTANTS})
@@ -27,8 +29,10 @@ def categorize_by_table(df: DataFrame, column: str, bands: Sequence[tuple[str, f
                         target: str = "category") -> DataFrame:
     """Look a value up in a table of (name, lo exclusive, hi inclusive) rows; NULL where none fits.
 
-    The table comes as a Python sequence, which bounds what is broadcast.
+    The table comes as a Python sequence of at most `MAX_BANDS` rows, which bounds what is broadcast.
     """
+    if len(bands) > MAX_BANDS:
+        raise ValueError(f"{len(bands)} bands are too many to compare every row with, at most {MAX_BANDS}")
     table = df.sparkSession.createDataFrame(list(bands), "name string, lo double, hi double")
     value = F.col(column)
     matched = df.join(F.broadcast(table), (value > F.col("lo")) & (value <= F.col("hi")), "left")

@@ -36,8 +36,8 @@ def time_key(df: DataFrame, time: str) -> Column:
     column = F.col(time)
     if isinstance(df.schema[time].dataType, T.TimestampNTZType):
         # wall-clock parts: converting to a zoned timestamp would break the order at clock changes
-        seconds = (F.unix_date(column.cast("date")) * 86400 + F.hour(column) * 3600
-                   + F.minute(column) * 60).cast("long")
+        seconds = (F.unix_date(column.cast("date")).cast("long") * 86400
+                   + F.hour(column) * 3600 + F.minute(column) * 60)
         micros = seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), column) * 1_000_000).cast("long")
     else:
         micros = F.unix_micros(column)
@@ -91,7 +91,8 @@ class OrderBuckets:
         """Time bucket, moved on by less than 1 along the tie-breaker if it is a hot one."""
         place = (F.col(self.tie).cast("double") - self.tie_low) / self.tie_span
         moved = F.least(F.greatest(F.coalesce(place, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)) * 0.5
-        return F.col(time_bucket) + F.when(F.col(time_bucket).isin(*self.hot), moved).otherwise(0.0)
+        is_hot = F.expr(f"{time_bucket} IN ({', '.join(map(str, self.hot))})")
+        return F.col(time_bucket) + F.when(is_hot, moved).otherwise(0.0)
 
 
 def _cut(df: DataFrame, name: str, cuts: Sequence[float]) -> DataFrame:
@@ -110,15 +111,16 @@ def fit_order_buckets(df: DataFrame, time: str = "datetime", tie: str = "reading
     """
     buckets = min(MAX_BUCKETS, buckets or default_buckets(df))
     found = _quantiles(df.filter(F.col(time).isNotNull()), time_key(df, time), buckets)
-    # a timestamp that is two quantiles in a row fills at least a whole bucket
-    hot_times = sorted({a for a, b in zip(found, found[1:]) if a == b})
+    # A timestamp that is two quantiles in a row fills at least a whole bucket. It
+    # is set apart only where neighbouring microseconds have different keys.
+    hot_times = sorted({a for a, b in zip(found, found[1:]) if a == b and abs(a) < 2.0 ** 53})
     cuts = tuple(sorted(set(found) | {h + 1.0 for h in hot_times}))
     timed = OrderBuckets(time, tie, cuts)
     if not hot_times:
         return timed
 
     hot = tuple(cuts.index(h) + 1 for h in hot_times)
-    hot_rows = timed.assign(df).filter(F.col(BUCKET).isin(*hot))
+    hot_rows = timed.assign(df).filter(f"{BUCKET} IN ({', '.join(map(str, hot))})")
     limits = hot_rows.agg(F.min(tie).cast("double").alias("low"), F.max(tie).cast("double").alias("high")).first()
     if limits.low is None or limits.low == limits.high:
         return timed

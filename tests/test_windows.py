@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from envspark.operators import features as ft
 from envspark.operators import quantiles, reports
-from envspark.operators.windows import BUCKET, fit_order_buckets, numbered, windowed
+from envspark.operators.windows import BUCKET, fit_order_buckets, numbered, time_key, windowed
 from envspark.plans import pipeline
 from envspark.profiles import LAG_FEATURES
 
@@ -119,6 +119,17 @@ def test_rolling_frames_end_at_the_current_row(readings):
         ft.add_rolling(readings, "pm25", -1, 1, "x", by=())
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_time_keys_over_centuries(spark, kind):
+    texts = ["1890-01-01 00:00:00", "1969-12-31 23:59:59.999999", "1970-01-01 00:00:00", "2024-03-10 02:30:00",
+             "2024-03-10 03:00:00", "2024-03-10 03:00:00.000001", "2100-06-01 12:00:00", "2250-01-01 00:00:00"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select(
+        "i", F.col("t").cast(kind).alias("t"))
+    keys = [r.k for r in rows.select("i", time_key(rows, "t").alias("k")).orderBy("i").collect()]
+    assert keys == sorted(keys) and len(set(keys)) == len(keys)
+    assert keys[2] == 0.0 and keys[1] == -1.0 and keys[5] - keys[4] == 1.0
+
+
 @pytest.mark.parametrize("shape", ["even", "hot timestamp"])
 def test_row_numbers(shapes, shape):
     df = shapes[shape]
