@@ -212,7 +212,7 @@ def predictions_page_deep(spark, sf_dir):
     raw = _readings(spark, sf_dir)
     buckets = fit_order_buckets(raw)
     served = serving.served_rows(pipeline.persistence_predictions(raw, buckets=buckets))
-    return serving.page(served, 59, 100, buckets, shallow=1000).select(*serving.SERVED_COLUMNS)
+    return serving.page(served, 59, 100, buckets, merge_rows=1000).select(*serving.SERVED_COLUMNS)
 
 
 def page_info(spark, sf_dir):

@@ -6,13 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from envspark.operators.reports import first_rows
-from envspark.operators.windows import OrderBuckets, fit_order_buckets, numbered
+from envspark.operators.windows import MERGE_ROWS, OrderBuckets, slice_rows
 from envspark.profiles import CATEGORY_SLUGS
 
 SAMPLE_ROWS = 500
 PER_PAGE = 20
-# rows up to which a page is read by a per-task top-n
-SHALLOW_ROWS = 10_000
 
 _DIGITS = {"pm25": 1, "pm10": 1, "no2": 1, "co": 2, "so2": 1, "o3": 1}
 SERVED_COLUMNS = ("datetime", "zone", *_DIGITS, "actual_aqi", "predicted_aqi", "error", "aqi_category")
@@ -42,19 +40,10 @@ def filter_predictions(df: DataFrame, zone: str = "all", category: str = "all")
     return df
 
 
-def page(df: DataFrame, number: int = 1, per_page: int = PER_PAGE,
-         buckets: OrderBuckets | None = None, shallow: int = SHALLOW_ROWS) -> DataFrame:
-    """Rows of one 1-based page in (datetime, reading_id) order.
-
-    Near the front this is a per-task top-n. Deeper pages are found by counting
-    rows per bucket, which leaves only the buckets of the page to be sorted.
-    """
-    start = (number - 1) * per_page
-    if start + per_page <= shallow:
-        return df.orderBy("datetime", "reading_id").offset(start).limit(per_page)
-    position = "_position"
-    return numbered(df, buckets or fit_order_buckets(df), position, start + 1,
-                    start + per_page).drop(position)
+def page(df: DataFrame, number: int = 1, per_page: int = PER_PAGE, buckets: OrderBuckets | None = None,
+         merge_rows: int = MERGE_ROWS) -> DataFrame:
+    """Rows of one 1-based page in (datetime, reading_id) order, near the front or deep."""
+    return slice_rows(df, (number - 1) * per_page, per_page, buckets, merge_rows=merge_rows)
 
 
 def page_info(filtered: DataFrame, everything: DataFrame, number: int = 1,

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_BUCKETS = 16_384
+# rows that the last task of a distributed top-n may have to merge
+MERGE_ROWS = 10_000_000
 
 BUCKET = "_bucket"
 _INF = float("inf")
@@ -200,3 +202,20 @@ def numbered(df: DataFrame, buckets: OrderBuckets, name: str,
     if high is not None:
         result = result.filter(F.col(name) <= high)
     return result
+
+
+def slice_rows(df: DataFrame, start: int, count: int, buckets: OrderBuckets | None = None,
+               time: str = "datetime", tie: str = "reading_id", merge_rows: int = MERGE_ROWS) -> DataFrame:
+    """Rows `start`..`start + count - 1` (from 0) in the order (time, tie).
+
+    A top-n sends `start + count` rows from each task to one last task. Where that
+    would be more than `merge_rows`, rows are counted per bucket instead, which
+    leaves only the buckets of the slice to be sorted.
+    """
+    parallelism = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if (start + count) * parallelism <= merge_rows:
+        ordered = df.orderBy(time, tie)
+        return (ordered.offset(start) if start else ordered).limit(count)
+    position = "_position"
+    return numbered(df, buckets or fit_order_buckets(df, time, tie), position, start + 1,
+                    start + count).drop(position)

@@ -125,18 +125,18 @@ def test_filters(scored):
     assert serving.filter_predictions(scored, category="nothing").count() == 0
 
 
-@pytest.mark.parametrize("shallow", [10_000, 0])
-def test_pages_put_together_are_the_whole(scored, shallow):
+@pytest.mark.parametrize("merge_rows", [10_000_000, 0])
+def test_pages_put_together_are_the_whole(scored, merge_rows):
     rows = serving.served_rows(scored).filter("zone = 'Zone_East'").cache()
     buckets = fit_order_buckets(rows)
     expected = [r.reading_id for r in rows.orderBy("datetime", "reading_id").collect()]
     size = -(-len(expected) // 3)
     paged = []
     for number in (1, 2, 3):
-        part = serving.page(rows, number, size, buckets, shallow).collect()
+        part = serving.page(rows, number, size, buckets, merge_rows=merge_rows).collect()
         paged += sorted((r.datetime, r.reading_id) for r in part)
     assert [i for _, i in paged] == expected
-    assert serving.page(rows, 4, size, buckets, shallow).count() == 0
+    assert serving.page(rows, 4, size, buckets, merge_rows=merge_rows).count() == 0
 
 
 def test_page_counts(scored):
