@@ -22,7 +22,7 @@ _INF = float("inf")
 
 def exact_quantiles(df: DataFrame, group: str, labels: Sequence[str], value: str,
                     probabilities: Sequence[float], buckets: int | None = None) -> DataFrame:
-    """(group, probability, quantile) with linear interpolation; NULL and NaN values are left out.
+    """(group, probability, quantile, count) with linear interpolation; NULL and NaN are left out.
 
     The groups are those of a given list of labels, which bounds the ranks that
     are looked for and therefore what is broadcast.
@@ -66,24 +66,21 @@ def exact_quantiles(df: DataFrame, group: str, labels: Sequence[str], value: str
            .filter((F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("k"))))
     weight = F.col("position") - F.floor("position")
     low, high = F.min("v"), F.max("v")
-    return (hit.groupBy(group, "probability", "position").agg(low.alias("low"), high.alias("high"))
+    return (hit.groupBy(group, "probability", "position", "total").agg(low.alias("low"), high.alias("high"))
             .select(group, "probability",
-                    (F.col("low") + weight * (F.col("high") - F.col("low"))).alias("quantile")))
+                    (F.col("low") + weight * (F.col("high") - F.col("low"))).alias("quantile"),
+                    F.col("total").alias("count")))
 
 
 def seasonal_quartiles(df: DataFrame, value: str = "aqi", approximate: bool = False) -> DataFrame:
-    """Minimum, quartiles and maximum by season. `approximate` trades exactness for one pass less."""
+    """Minimum, quartiles and maximum by season. `approximate` trades exactness for a single pass."""
     seasonal = df.select(temporal.season(F.col("month")).alias("season"), F.col(value).alias("v"))
-    ends = seasonal.groupBy("season").agg(F.min("v").alias("min"), F.max("v").alias("max"),
-                                          F.count("v").alias("count"))
-    names = {0.25: "q1", 0.5: "median", 0.75: "q3"}
+    names = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
     if approximate:
-        quartiles = seasonal.groupBy("season").agg(
-            F.percentile_approx("v", list(names), 100_000).alias("q")).select(
-            "season", *[F.col("q")[i].alias(n) for i, n in enumerate(names.values())])
-    else:
-        exact = exact_quantiles(seasonal, "season", [label for label, _ in temporal.SEASONS], "v", list(names))
-        quartiles = exact.groupBy("season").agg(*[
-            F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(n) for p, n in names.items()])
-    return ends.join(F.broadcast(quartiles), "season").select(
-        "season", "count", "min", "q1", "median", "q3", "max")
+        points = F.percentile_approx("v", list(names.values()), 100_000)
+        return (seasonal.groupBy("season").agg(F.count("v").alias("count"), points.alias("p"))
+                .select("season", "count", *[F.col("p")[i].alias(n) for i, n in enumerate(names)]))
+    exact = exact_quantiles(seasonal, "season", [label for label, _ in temporal.SEASONS], "v",
+                            list(names.values()))
+    return exact.groupBy("season").agg(F.max("count").alias("count"), *[
+        F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(n) for n, p in names.items()])

@@ -31,10 +31,13 @@ MERGE_ROWS = 10_000_000
 
 BUCKET = "_bucket"
 _INF = float("inf")
+# key of a missing timestamp, below every other key
+_NULL_KEY = 1.0 - 2.0 ** 53
+_LOWEST_KEY = _NULL_KEY + 1.0
 
 
 def time_key(df: DataFrame, time: str) -> Column:
-    """Microseconds of a timestamp as a double (exact for the years 1684 to 2255); NULL sorts first."""
+    """Microseconds of a timestamp as a double, exact for the years 1685 to 2255; NULL sorts first."""
     column = F.col(time)
     if isinstance(df.schema[time].dataType, T.TimestampNTZType):
         # wall-clock parts: converting to a zoned timestamp would break the order at clock changes
@@ -43,7 +46,8 @@ def time_key(df: DataFrame, time: str) -> Column:
         micros = seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), column) * 1_000_000).cast("long")
     else:
         micros = F.unix_micros(column)
-    return F.coalesce(micros.cast("double"), F.lit(-_INF))
+    return F.when(column.isNull(), F.lit(_NULL_KEY)).otherwise(
+        F.greatest(micros.cast("double"), F.lit(_LOWEST_KEY)))
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -112,10 +116,11 @@ def fit_order_buckets(df: DataFrame, time: str = "datetime", tie: str = "reading
     table stay right, only less even, for a filtered one.
     """
     buckets = min(MAX_BUCKETS, buckets or default_buckets(df))
-    found = _quantiles(df.filter(F.col(time).isNotNull()), time_key(df, time), buckets)
-    # A timestamp that is two quantiles in a row fills at least a whole bucket. It
-    # is set apart only where neighbouring microseconds have different keys.
-    hot_times = sorted({a for a, b in zip(found, found[1:]) if a == b and abs(a) < 2.0 ** 53})
+    found = _quantiles(df, time_key(df, time), buckets)
+    # A timestamp (or a missing one) that is two quantiles in a row fills at least a
+    # whole bucket. It is set apart only where each timestamp has a key of its own.
+    hot_times = sorted({a for a, b in zip(found, found[1:])
+                        if a == b and (a == _NULL_KEY or _LOWEST_KEY < a < 2.0 ** 53)})
     cuts = tuple(sorted(set(found) | {h + 1.0 for h in hot_times}))
     timed = OrderBuckets(time, tie, cuts)
     if not hot_times:

@@ -33,6 +33,9 @@ def shapes(readings):
     return {
         "even": base,
         "hot timestamp": third,
+        "missing timestamps": base.withColumn("datetime", F.expr(
+            "CASE WHEN reading_id % 3 != 0 THEN datetime END")),
+        "no timestamps": base.withColumn("datetime", F.lit(None).cast("timestamp_ntz")),
         "one timestamp": base.withColumn("datetime", F.expr(HOT)),
         "hot zone": base.withColumn("zone", F.when(F.col("reading_id") < 900, "a").otherwise("b")),
         "rare zones": base.withColumn("zone", F.concat(F.lit("z"), F.col("reading_id") % 400)),
@@ -41,8 +44,8 @@ def shapes(readings):
     }
 
 
-@pytest.mark.parametrize("shape", ["even", "hot timestamp", "one timestamp", "hot zone", "rare zones", "one row",
-                                   "empty"])
+@pytest.mark.parametrize("shape", ["even", "hot timestamp", "missing timestamps", "no timestamps", "one timestamp",
+                                   "hot zone", "rare zones", "one row", "empty"])
 @pytest.mark.parametrize("by", [["zone"], []])
 def test_bucketed_windows_equal_plain_windows(shapes, shape, by):
     df = shapes[shape]
@@ -55,7 +58,7 @@ def test_bucketed_windows_equal_plain_windows(shapes, shape, by):
         assert got.exceptAll(expected).count() == 0, (shape, by, count)
 
 
-@pytest.mark.parametrize("shape", ["even", "hot timestamp", "one timestamp"])
+@pytest.mark.parametrize("shape", ["even", "hot timestamp", "missing timestamps", "no timestamps", "one timestamp"])
 def test_no_bucket_is_hot(shapes, shape):
     df = shapes[shape]
     total, buckets = df.count(), fit_order_buckets(df, buckets=20)
@@ -64,7 +67,7 @@ def test_no_bucket_is_hot(shapes, shape):
     assert sizes[1] <= 60
 
 
-@pytest.mark.parametrize("shape", ["even", "hot timestamp", "one timestamp"])
+@pytest.mark.parametrize("shape", ["even", "hot timestamp", "missing timestamps", "no timestamps", "one timestamp"])
 def test_bucket_numbers_follow_the_order(shapes, shape):
     df = shapes[shape]
     rows = fit_order_buckets(df, buckets=30).assign(df)
@@ -130,7 +133,7 @@ def test_time_keys_over_centuries(spark, kind):
     assert keys[2] == 0.0 and keys[1] == -1.0 and keys[5] - keys[4] == 1.0
 
 
-@pytest.mark.parametrize("shape", ["even", "hot timestamp"])
+@pytest.mark.parametrize("shape", ["even", "hot timestamp", "missing timestamps"])
 def test_row_numbers(shapes, shape):
     df = shapes[shape]
     buckets = fit_order_buckets(df, buckets=25)
