@@ -38,6 +38,15 @@ from envspark.sources import readings as src
 from envspark.sources import sinks
 from oracle.sql import ORACLE
 
+try:
+    import corpus_pipeline
+    from envspark.llm.oracle import ORACLE as LLM_ORACLE
+    from envspark.llm.queries import queries as llm_queries
+except ModuleNotFoundError as missing:  # the training-data operators are optional, nothing else is
+    if missing.name not in ("corpus_pipeline", "envspark.llm"):
+        raise
+    corpus_pipeline = None
+
 SUB_INDICES = [f"aqi_{p}" for p in POLLUTANTS]
 
 
@@ -315,9 +324,21 @@ def entry(spark: SparkSession) -> DataFrame:
     return zone_category_summary(spark, "/root/testdata/sf0.001")
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {} if corpus_pipeline is None else {**llm_queries(), "pipeline": corpus_pipeline.run}
+
+
+def _llm_sql() -> dict[str, str]:
+    if corpus_pipeline is None:
+        return {}
+    whole = corpus_pipeline.ORACLE_SQL
+    return {**LLM_ORACLE, **({"pipeline": whole} if whole else {})}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
     return {
+        **_llm_queries(),
         "zone_category_summary": zone_category_summary,
         # sources, projections, filters
         "scan_readings": on_readings(lambda r: r, 6),
@@ -423,4 +444,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for every query that SQL can express."""
-    return dict(ORACLE)
+    return {**ORACLE, **_llm_sql()}
