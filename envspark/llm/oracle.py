@@ -2,6 +2,24 @@
 
 from __future__ import annotations
 
+OP1 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS window_text
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+copies AS (
+  SELECT doc_id, i
+  FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY window_text ORDER BY doc_id, i) AS r FROM windows) WHERE r > 1),
+removed AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM copies),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n
+  FROM words ANTI JOIN removed USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP7 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -68,4 +86,4 @@ SELECT d.doc_id, coalesce(members.n, 0) AS n_shingles, coalesce(root, d.doc_id)
 FROM d LEFT JOIN members USING (doc_id) LEFT JOIN roots USING (rep)
 """
 
-ORACLE = {"op7_decontamination": OP7, "op9_minhash_dedup": OP9}
+ORACLE = {"op1_substring_dedup": OP1, "op7_decontamination": OP7, "op9_minhash_dedup": OP9}
