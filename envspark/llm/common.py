@@ -69,12 +69,13 @@ def slices(sizes: Sequence[int], limit: int = STEP_BYTES) -> Iterator[tuple[int,
         yield start, len(sizes)
 
 
-def ranked(df: DataFrame, keys: Sequence[str], rank: str, order: Iterable[Column], salts: int = 64) -> DataFrame:
+def ranked(df: DataFrame, keys: Sequence[str], rank: str, order: Iterable[Column], salts: int | None = None) -> DataFrame:
     """Number the rows of each key from 0 without putting a key into one task.
 
-    A key is split by a hash of the row into `salts` parts; counts by (key, part)
-    say where each part begins. Rows equal in every column are interchangeable.
+    A key is split by a hash of the row into `salts` parts; counts by (key, part) say
+    where each part begins. Keys are not null. Rows equal in every column are interchangeable.
     """
+    salts = salts or max(64, 4 * partitions(df.sparkSession))
     salt, before = fresh(df, "_salt"), fresh(df, "_before")
     parts = [*keys, salt]
     salted = df.withColumn(salt, F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
@@ -82,10 +83,8 @@ def ranked(df: DataFrame, keys: Sequence[str], rank: str, order: Iterable[Column
     earlier = Window.partitionBy(*keys).orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
     begins = counts.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0)))
     inside = F.row_number().over(Window.partitionBy(*parts).orderBy(*order)) - 1
-    numbered = salted.withColumn(rank, inside.cast("long"))
-    joined = numbered.alias("n").join(begins.alias("b"), [F.col(f"n.{c}").eqNullSafe(F.col(f"b.{c}")) for c in parts])
-    return joined.select(*[F.col(f"n.`{c}`") for c in df.columns],
-                         (F.col(f"n.{rank}") + F.col(f"b.{before}")).alias(rank))
+    numbered = salted.withColumn(rank, inside.cast("long")).join(begins, parts)
+    return numbered.withColumn(rank, F.col(rank) + F.col(before)).drop(salt, before)
 
 
 def pow_table(base: int, n: int) -> np.ndarray:

@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envspark.llm import decontaminate, near_dedup, substring_dedup
+from envspark.llm import decontaminate, near_dedup, packing, sharding, substring_dedup
+
+
+def vocabulary(name: str) -> str:
+    """Where the public vocabularies are installed, on the driver and on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +26,14 @@ def op1_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_best_fit_packing(spark, sf_dir):
+    return packing.packed(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op3_minimax_sharding(spark, sf_dir):
+    return sharding.sharded(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark, sf_dir):
     found = decontaminate.hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -32,6 +47,8 @@ def op9_minhash_dedup(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_minimax_sharding": op3_minimax_sharding,
         "op7_decontamination": op7_decontamination,
         "op9_minhash_dedup": op9_minhash_dedup,
     }
