@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envspark.llm import decontaminate, near_dedup, packing, sharding, substring_dedup
+from envspark.llm import (decontaminate, language, near_dedup, packing, sharding, substring_dedup, token_counts,
+                          url_filter)
 
 
 def vocabulary(name: str) -> str:
@@ -34,6 +35,21 @@ def op3_minimax_sharding(spark, sf_dir):
     return sharding.sharded(_table(spark, sf_dir, "documents"))
 
 
+def op4_url_filter(spark, sf_dir):
+    return url_filter.judged(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_token_counts(spark, sf_dir):
+    return token_counts.counted(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op6_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    found, name, score = language.identified(docs.select("doc_id", "text"), language.fit(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), F.col(name).alias("lang_pred"),
+                        F.col(score).alias("score"))
+
+
 def op7_decontamination(spark, sf_dir):
     found = decontaminate.hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -49,6 +65,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_substring_dedup": op1_substring_dedup,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_minimax_sharding": op3_minimax_sharding,
+        "op4_url_filter": op4_url_filter,
+        "op5_token_counts": op5_token_counts,
+        "op6_language_id": op6_language_id,
         "op7_decontamination": op7_decontamination,
         "op9_minhash_dedup": op9_minhash_dedup,
     }
