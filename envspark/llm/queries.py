@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envspark.llm import (decontaminate, language, near_dedup, packing, sharding, substring_dedup, token_counts,
-                          url_filter)
+from envspark.llm import (decontaminate, fingerprints, language, near_dedup, packing, sharding, substring_dedup,
+                          token_counts, url_filter)
 
 
 def vocabulary(name: str) -> str:
@@ -60,6 +60,10 @@ def op9_minhash_dedup(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprinted(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -70,4 +74,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_language_id": op6_language_id,
         "op7_decontamination": op7_decontamination,
         "op9_minhash_dedup": op9_minhash_dedup,
+        "op10_fingerprints": op10_fingerprints,
     }
