@@ -2,15 +2,27 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and is
 written as Parquet before the next one reads it. All but the last return the columns of
-`documents`.
+`documents`. Equal rows, nulls and empty texts are treated as the operators say.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from envspark.llm import decontaminate, near_dedup
+from envspark.llm import decontaminate, language, near_dedup, packing, pseudonyms
 from envspark.llm.common import stash
+from envspark.llm.queries import KEY, vocabulary
+
+# below this no language's own regression claims the text
+LEAST_SCORE = 0.5
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters and those that no language claims go."""
+    found, name, score = language.identified(docs, language.fit(docs))
+    known = found.filter((F.col(name) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE))
+    return known.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +35,26 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("near_dedup", drop_near_duplicates), ("decontamination", drop_contaminated)]
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data becomes pseudonyms; n_chars follows the new text."""
+    found, _ = pseudonyms.pseudonymized(docs, KEY)
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences of the rest."""
+    return packing.packed(docs, vocabulary("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("language_id", keep_known_languages),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("pii", hide_personal_data),
+    ("packing", pack),
+]
 
 #: language ID and packing have no SQL equivalent
 ORACLE_SQL = None

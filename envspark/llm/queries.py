@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envspark.llm import (decontaminate, fingerprints, language, near_dedup, packing, sharding, substring_dedup,
-                          token_counts, url_filter)
+from envspark.llm import (decontaminate, fingerprints, language, near_dedup, packing, pseudonyms, sharding,
+                          substring_dedup, token_counts, url_filter)
 
 
 def vocabulary(name: str) -> str:
@@ -55,6 +55,15 @@ def op7_decontamination(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+#: stands for a key that a deployment keeps in its secret store
+KEY = "change-me"
+
+
+def op8_pii_pseudonyms(spark, sf_dir):
+    found, count = pseudonyms.pseudonymized(_table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
+    return found.select("doc_id", "text", F.col(count).alias("n_replaced"))
+
+
 def op9_minhash_dedup(spark, sf_dir):
     found = near_dedup.components(_table(spark, sf_dir, "documents"), shingle=3, threshold_percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -73,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_counts": op5_token_counts,
         "op6_language_id": op6_language_id,
         "op7_decontamination": op7_decontamination,
+        "op8_pii_pseudonyms": op8_pii_pseudonyms,
         "op9_minhash_dedup": op9_minhash_dedup,
         "op10_fingerprints": op10_fingerprints,
     }
