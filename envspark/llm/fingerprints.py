@@ -52,8 +52,10 @@ def _empty(x: Column) -> Column:
     return x.bitwiseAND(F.lit(_VALUES)) == F.lit(_VALUES)
 
 
-def _low(x: Column) -> Column:
-    return x.bitwiseAND(F.lit(_LOW))
+def _low(x: Column, place: Column) -> Column:
+    """Low bits of a value as bin `place` stores it; hashed with the bin, so that borrowed values agree
+    by chance in each bin for itself."""
+    return F.xxhash64(x, place).bitwiseAND(F.lit(_LOW))
 
 
 def _signed(x: int) -> int:
@@ -75,13 +77,13 @@ def packed(text: Column, shingle: int = SHINGLE_WORDS) -> Column:
     def dense(filled: Column) -> Column:
         def borrowed(x: Column, place: Column) -> Column:
             tries = [let(F.get(filled, F.pmod(F.xxhash64(place, F.lit(t)), F.lit(BINS)).cast("int")),
-                         lambda y: F.when(~_empty(y), _low(y))) for t in range(ATTEMPTS)]
+                         lambda y: F.when(~_empty(y), _low(y, place))) for t in range(ATTEMPTS)]
             last = F.array_min(F.transform(
                 F.filter(filled, lambda y: ~_empty(y)),
-                lambda y: F.xxhash64(place, _bin(y)).bitwiseAND(F.lit(~_LOW)).bitwiseOR(_low(y))))
-            return F.coalesce(*tries, _low(last))
+                lambda y: F.xxhash64(place, _bin(y)).bitwiseAND(F.lit(~_LOW)).bitwiseOR(_low(y, place))))
+            return F.coalesce(*tries, last.bitwiseAND(F.lit(_LOW)))
 
-        values = F.transform(filled, lambda x, place: F.when(_empty(x), borrowed(x, place)).otherwise(_low(x)))
+        values = F.transform(filled, lambda x, place: F.when(_empty(x), borrowed(x, place)).otherwise(_low(x, place)))
         return let(values, lambda v: F.transform(F.sequence(F.lit(0), F.lit(BINS // PER_LONG - 1)), lambda j: F.aggregate(
             F.slice(v, j * PER_LONG + 1, PER_LONG), F.lit(0).cast("long"),
             lambda a, b: F.shiftleft(a, BITS).bitwiseOR(b))))
