@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # bytes of text that one vectorized step handles; bounds the temporaries of a Python worker
 STEP_BYTES = 2 << 20
@@ -87,6 +88,13 @@ def ranked(df: DataFrame, keys: Sequence[str], rank: str, order: Iterable[Column
     return numbered.withColumn(rank, F.col(rank) + F.col(before)).drop(salt, before)
 
 
+def mapped(df: DataFrame, function, added: Sequence[T.StructField] = ()) -> DataFrame:
+    """df.mapInArrow(function) for a function that returns the columns of `df` and the added ones, under any names."""
+    fields = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate([*df.schema.fields, *added])]
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(function, T.StructType(fields)).toDF(*df.columns, *[f.name for f in added])
+
+
 def pow_table(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     out = np.full(n, base, dtype=np.uint64)

@@ -20,9 +20,8 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from envspark.llm.common import fresh, stash, texts_of
+from envspark.llm.common import fresh, mapped, stash, texts_of
 
 WINDOW = 10
 # bytes of item texts that are sent to executors at once
@@ -118,15 +117,14 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     state = (docs.withColumn(names["words"], F.lit(0).cast("long"))
              .withColumn(names["spans"], F.array().cast("array<bigint>"))
              .withColumn(names["items"], F.array().cast("array<string>")))
-    schema = state.schema
-    place = {k: schema.fieldNames().index(v) for k, v in names.items()}
+    place = {k: state.columns.index(v) for k, v in names.items()}
     at = docs.columns.index(text)
     spark = docs.sparkSession
     for number, block in enumerate(_item_blocks(benchmark, item, item_text, block_bytes)):
         if number:
             state = stash(state)
         sent = spark.sparkContext.broadcast(block)
-        state = state.mapInArrow(_scanner(sent, at, place, window), schema)
+        state = mapped(state, _scanner(sent, at, place, window))
     return state, names
 
 

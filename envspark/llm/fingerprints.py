@@ -119,7 +119,9 @@ def _with_buckets(rows: DataFrame, buckets: int) -> DataFrame:
     hot = {x: found.count(x) for x in found if found.count(x) > 1 and abs(x) < 2 ** 53}
     nulls, total = rows.agg(F.count_if(F.col("id").isNull()), F.count("*")).first()
     cuts = sorted({*found, *(math.nextafter(x, math.inf) for x in hot)})
-    placed = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="at", outputCol="place").transform(number)
+    placed = number.withColumn("place", F.lit(0.0))
+    if cuts:
+        placed = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="at", outputCol="place").transform(number)
     parts = F.lit(1)
     for x, times in hot.items():
         parts = F.when(F.col("at") == x, F.lit(times)).otherwise(parts)

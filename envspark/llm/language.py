@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from envspark.llm.common import LOWER, fresh, slices, texts_of
+from envspark.llm.common import LOWER, fresh, mapped, slices, texts_of
 
 UNKNOWN = "und"
 #: places of the hashed n-grams by n
@@ -43,16 +43,18 @@ _FOLD = np.where((LOWER >= 97) & (LOWER <= 122) | (LOWER >= 128), LOWER, 32).ast
 
 def presence(texts: Sequence[bytes]) -> np.ndarray:
     """Which n-grams each text has: one row per text, blocks of places by n."""
-    data = _FOLD[np.frombuffer(b"    ".join([*texts, b""]), dtype=np.uint8)].astype(np.uint32)
-    row = np.repeat(np.arange(len(texts)), [len(t) + 4 for t in texts])[:len(data)]
+    widest = max(SIZES)
+    # a gap before each text and enough after it to end its n-grams, which begin in the text or its gap before
+    data = _FOLD[np.frombuffer(b"".join(b" " + t + b" " * widest for t in texts), dtype=np.uint8)].astype(np.uint32)
+    lengths = np.array([len(t) + 1 + widest for t in texts], dtype=np.int64)
+    row = np.repeat(np.arange(len(texts)), lengths)
+    own = np.arange(len(data)) < np.repeat(np.cumsum(lengths) - widest, lengths)
     out = np.zeros((len(texts), WIDTH), dtype=bool)
     begin, code = 0, np.zeros(len(data), dtype=np.uint32)
     for n, size in SIZES.items():
-        if len(data) < n:
-            break
         code = code[:len(data) - n + 1] | (data[n - 1:] << np.uint32(8 * (n - 1)))
         place = (code * np.uint32(0x9E3779B1)) >> np.uint32(32 - size.bit_length() + 1)
-        seen = data[:len(code)] != 32 if n == 1 else np.ones(len(code), dtype=bool)
+        seen = own[:len(code)] & (data[:len(code)] != 32) if n == 1 else own[:len(code)]
         out[row[:len(code)][seen], begin + place[seen]] = True
         begin += size
     return out
@@ -135,8 +137,6 @@ def identified(docs: DataFrame, model: Model | None, text: str = "text") -> tupl
     names = fresh(docs, "lang_pred"), fresh(docs, "score")
     letters = fresh(docs, "_letters")
     marked = docs.withColumn(letters, has_letters(F.col(f"`{text}`")))
-    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()),
-                           T.StructField(names[1], T.DoubleType())])
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 
@@ -155,8 +155,8 @@ def identified(docs: DataFrame, model: Model | None, text: str = "text") -> tupl
                     for i in range(low, high):
                         if some[i]:
                             found[i], score[i] = known.languages[best[i - low]], float(top[i - low])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(found, pa.string()), pa.array(score, pa.float64())],
-                names=[*batch.schema.names[:-1], *names])
+            columns = [*batch.columns, pa.array(found, pa.string()), pa.array(score, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(len(columns))])
 
-    return marked.mapInArrow(run, schema), *names
+    added = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
+    return mapped(marked, run, added).drop(letters), *names

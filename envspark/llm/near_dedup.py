@@ -8,10 +8,10 @@
    never with all others. Signatures of a pair are compared batch by batch; the pair is
    dropped once the posterior probability that its similarity reaches the
    threshold falls below `miss`. Survivors are verified on their full shingle sets.
-4. Buckets whose nodes are not yet in one component are gone through again: nodes
-   outside the component of the smallest node are paired with those of other components,
-   which finds the links that the first round could not see. Pairs within a
-   component are left out, since they cannot change it.
+4. Buckets whose nodes are not yet in one component are gone through again in chunks:
+   every pair of different components is compared in the same way, inside of tasks, which
+   finds the links that the first round could not see. Pairs within a component are left
+   out, since they cannot change it.
 
 Components come from edge contraction, a few joins on hashed ids. A node id is a
 64-bit hash of the whole set.
@@ -40,6 +40,8 @@ SHINGLE_WORDS, THRESHOLD = 5, 0.8
 ROWS = 5
 MISS = 1e-6
 BATCH = 20
+# nodes of a bucket that are compared with as many others at once
+CHUNK = 64
 SEED = 20_240_501
 
 
@@ -140,14 +142,8 @@ def _similar(size: int, threshold_percent: int):
             return next(shingle_sets([text], size))
 
         for batch in batches:
-            keep = []
-            for left, right in zip(texts_of(batch.column(2)), texts_of(batch.column(3))):
-                x, y = values(left), values(right)
-                low, high = sorted((len(x), len(y)))
-                shared = 0
-                if 100 * low >= threshold_percent * high:
-                    shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= threshold_percent * (len(x) + len(y) - shared))
+            keep = [_reaches(values(a), values(b), threshold_percent)
+                    for a, b in zip(texts_of(batch.column(2)), texts_of(batch.column(3)))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
@@ -202,7 +198,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle
     band = F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band")
     width = 2 * ROWS
     members = nodes.select("node", "sign", band).select(
-        F.expr(f"xxhash64(band, substring(sign, band * {width} + 1, {width}))").alias("bucket"), "node")
+        F.expr(f"xxhash64(band, substring(sign, band * {width} + 1, {width}))").alias("bucket"), "band", "node")
     hubs = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
     shared = stash(members.join(hubs, "bucket"))
 
@@ -219,8 +215,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle
     links = _pairs_checked(star, signs, steps, texts, shingle, threshold_percent)
     roots = contracted(links)
 
-    rest = _across(shared, roots).join(star, ["a", "b"], "left_anti")
-    more = _pairs_checked(rest, signs, steps, texts, shingle, threshold_percent)
+    more = _links_across(shared, roots, nodes, texts, steps, shingle, threshold_percent)
     if not more.isEmpty():
         roots = contracted(links.unionByName(more))
 
@@ -237,21 +232,106 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle
                       F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def _across(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Pairs of a bucket whose nodes are in different components, at least one outside that of the smallest node."""
+def _links_across(shared: DataFrame, roots: DataFrame | None, nodes: DataFrame, texts: DataFrame, steps, size: int,
+                  percent: int) -> DataFrame:
+    """Links between nodes of a bucket that are not yet in one component.
+
+    Nodes of such a bucket are dealt into chunks of about `CHUNK`, those of the smallest node's component
+    apart from the others, and chunks are compared two at a time, except where all of their nodes are in one
+    component. No row per pair is made: a comparison returns links only, at most one for
+    every two components that it joins.
+    """
+    spark = shared.sparkSession
     if roots is None:
-        placed = shared.select("bucket", "node", F.col("node").alias("c"), F.col("low").alias("main"))
+        placed = shared.select("bucket", "band", "node", F.col("node").alias("c"), F.col("low").alias("main"))
     else:
         of_low = roots.select(F.col("node").alias("low"), F.col("root").alias("low_root"))
         placed = shared.join(roots, "node", "left").join(of_low, "low", "left").select(
-            "bucket", "node", F.coalesce("root", "node").alias("c"), F.coalesce("low_root", "low").alias("main"))
+            "bucket", "band", "node", F.coalesce("root", "node").alias("c"), F.coalesce("low_root", "low").alias("main"))
     mixed = placed.groupBy("bucket").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("n"))
     # in a bucket of two the first round has compared the only pair
-    placed = stash(placed.join(mixed.filter("x <> y AND n > 2").select("bucket"), "bucket"))
-    outside = placed.filter("c <> main").select("bucket", F.col("node").alias("a"), F.col("c").alias("ca"))
-    every = placed.select("bucket", F.col("node").alias("b"), F.col("c").alias("cb"), F.expr("c <> main").alias("out"))
-    return (outside.join(every, "bucket").filter("ca <> cb AND (NOT out OR a < b)")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    wanted = mixed.filter("x <> y AND n > 2").select("bucket", F.expr(f"int((n - 1) div {CHUNK}) + 1").alias("chunks"))
+    chunk = F.struct(F.expr("c <> main").alias("out"), F.pmod(F.xxhash64("node"), F.col("chunks")).alias("n"))
+    dealt = placed.join(wanted, "bucket").select("bucket", "band", "node", "c", chunk.alias("chunk"))
+    full = dealt.join(nodes.select("node", "sign"), "node").join(texts, "node")
+    chunks = stash(full.groupBy("bucket", "band", "chunk").agg(
+        F.collect_list(F.struct("node", "c", "sign", "text")).alias("m"),
+        F.min("c").alias("low"), F.max("c").alias("high")))
+    pairs = chunks.alias("x").join(chunks.alias("y"), "bucket").filter(
+        "x.chunk <= y.chunk AND NOT (x.low = x.high AND y.low = y.high AND x.low = y.low)").select(
+        "x.band", F.expr("x.chunk = y.chunk").alias("same"), F.col("x.m").alias("x"), F.col("y.m").alias("y"))
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "16")  # rows are large here
+    try:
+        return stash(pairs.mapInArrow(_across(steps, size, percent), "a long, b long"))
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _across(steps: list[tuple[int, int]], size: int, percent: int):
+    """Links between the components of two chunks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        @lru_cache(maxsize=1024)
+        def values(text: bytes) -> np.ndarray:
+            return next(shingle_sets([text], size))
+
+        def members(chunk):
+            node, c, sign, text = (chunk.values.field(i) for i in range(4))
+            marks = np.frombuffer(b"".join(sign.to_pylist()), dtype=np.uint16).reshape(len(node), -1)
+            return node.to_pylist(), c.to_pylist(), marks, list(texts_of(text))
+
+        for batch in batches:
+            links: list[tuple[int, int]] = []
+            for row in range(batch.num_rows):
+                band, same = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
+                x, y = members(batch.column(2)[row]), members(batch.column(3)[row])
+                parent: dict[int, int] = {}
+
+                def root(c: int) -> int:
+                    while parent.get(c, c) != c:
+                        c = parent[c]
+                    return c
+
+                for i, j in _candidates(x, y, band, same, steps):
+                    p, q = root(x[1][i]), root(y[1][j])
+                    if p != q and _reaches(values(x[3][i]), values(y[3][j]), percent):
+                        parent[p] = q
+                        links.append((x[0][i], y[0][j]))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()),
+                                              pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
+    return run
+
+
+def _candidates(x, y, band: int, same: bool, steps: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Pairs of two chunks to verify, most alike first: of two components, likely by
+    signature, and in no bucket of an earlier band together."""
+    open_ = np.array(x[1])[:, None] != np.array(y[1])[None, :]
+    if same:
+        open_ &= np.arange(len(x[1]))[:, None] < np.arange(len(y[1]))[None, :]
+    i, j = np.nonzero(open_)
+    left, right = x[2], y[2]
+    equal, done = np.zeros(len(i), dtype=np.int64), 0
+    for n, least in steps:
+        equal += (left[i, done:n] == right[j, done:n]).sum(axis=1)
+        keep = equal >= least
+        i, j, equal, done = i[keep], j[keep], equal[keep], n
+    if band:
+        earlier = (left[i, :band * ROWS] == right[j, :band * ROWS]).reshape(len(i), band, ROWS).all(axis=2).any(axis=1)
+        i, j, equal = i[~earlier], j[~earlier], equal[~earlier]
+    order = np.argsort(-equal, kind="stable")
+    yield from zip(i[order].tolist(), j[order].tolist())
+
+
+def _reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 |x and y| >= percent |x or y|."""
+    low, high = sorted((len(x), len(y)))
+    if 100 * low < percent * high:
+        return False
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
 
 
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -36,7 +36,7 @@ from envspark.llm.common import partitions, ranked, stash, texts_of
 SEQUENCE = 2048
 END_ID = 0
 # words whose ids a worker keeps
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 700_000
 # slots that one row of the plan becomes at once
 CHUNK = 1 << 16
 
@@ -122,30 +122,30 @@ def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
 def plan(histogram: Mapping[int, int], size: int = SEQUENCE) -> list[tuple[int, int, int, int, int]]:
     """Best fit, longest first, over counts: runs (length, first rank, count, first sequence, offset)."""
-    room: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]  # open sequences [low, high) by room left
+    room: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]  # sequences [low, high) by room left
+    room[size].append((0, sum(histogram.values())))  # those not opened yet, enough for one piece each
     runs: list[tuple[int, int, int, int, int]] = []
-    opened = 0
     for length in sorted(histogram, reverse=True):
         left, rank = histogram[length], 0
-        for least in range(length, size):
-            while left and room[least]:
-                low, high = room[least].pop()
-                taken = min(left, high - low)
-                if taken < high - low:
-                    room[least].append((low + taken, high))
-                runs.append((length, rank, taken, low, size - least))
-                room[least - length].append((low, low + taken))
-                left, rank = left - taken, rank + taken
-            if not left:
-                break
-        each = size // length
-        for count, filled in ((left // each, each), (1 if left % each else 0, left % each)):
-            if count:
+        least = length
+        while left:
+            while not room[least]:
+                least += 1
+            low, high = room[least].pop()
+            each = least // length  # one sequence after the other is filled as far as it goes
+            whole = min(left // each, high - low)
+            parts = [(whole, each)] if whole else []
+            if low + whole < high and left - whole * each:
+                parts.append((1, left - whole * each) if left - whole * each < each else (0, 0))
+            for count, filled in parts:
                 for i in range(filled):
-                    runs.append((length, rank, count, opened, i * length))
+                    runs.append((length, rank, count, low, size - least + i * length))
                     rank += count
-                room[size - filled * length].append((opened, opened + count))
-                opened += count
+                if count:
+                    room[least - filled * length].append((low, low + count))
+                low, left = low + count, left - count * filled
+            if low < high:
+                room[least].append((low, high))
     return runs
 
 

@@ -10,7 +10,7 @@ Sizes before a group come from sums per hash bucket (a bounded number, which the
 adds up) and a running sum within each bucket. A group that fills a fair share by
 itself stands first and gets a shard of its own, so that no shard stays empty for it.
 
-Cases: a null text has no bytes and its rows form one group; repeated rows are members of
+Cases: a null text counts as empty; repeated rows are members of
 one group; an empty table gives no rows; other columns are ignored.
 """
 
@@ -91,7 +91,7 @@ def sharded(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: in
     rows = stash(docs.select(
         F.col(f"`{key}`").alias("own_key"), (F.coalesce(F.octet_length(body), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32(body.cast("binary")), F.lit(0).cast("long")).alias("text_crc32"),
-        F.coalesce(F.md5(body.cast("binary")), F.lit("")).alias("grp")))
+        F.md5(F.coalesce(body, F.lit("")).cast("binary")).alias("grp")))
     groups = stash(rows.groupBy("grp").agg(F.sum("size").alias("bytes"), F.count("*").alias("members")))
     totals = groups.agg(F.sum("bytes").alias("bytes")).first()
     total = totals.bytes or 0
@@ -102,7 +102,7 @@ def sharded(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: in
     largest = max((r["bytes"] for r in top[single:]), default=0)
 
     buckets = min(MAX_BUCKETS, 16 * partitions(spark))
-    number = F.floor(F.coalesce(F.conv(F.substring("grp", 1, 8), 16, 10).cast("long"), F.lit(0)) * buckets / 2 ** 32)
+    number = F.floor(F.conv(F.substring("grp", 1, 8), 16, 10).cast("long") * buckets / 2 ** 32)
     rest = groups.filter(~F.col("grp").isin(own)).withColumn("bucket", number.cast("long"))
     sums = sorted(rest.groupBy("bucket").agg(F.sum("bytes"), F.sum("members")).collect())
     before, at, members = [], 0, 0

@@ -4,10 +4,10 @@ A window is `WINDOW` consecutive words of a document. A window is a copy if the
 words also start earlier: in a document of smaller id, or earlier in the same document.
 Words inside copies are removed.
 
-1. Reference blocks. Every window elects the eight-word gram of smallest hash inside it as
+1. Reference blocks. Every window elects the six-word gram of smallest hash inside it as
    its anchor; neighbouring windows with one anchor form a block. Equal windows elect
    the same anchor, so copies of a window meet under the anchor's hash, and one row per
-   block indexes the whole corpus (about one row for seven words).
+   block indexes the whole corpus (about one row for eight words).
 2. Greedy factors. A document is parsed block by block. A block whose words occurred
    earlier under its anchor is a copy as a whole, and neighbouring copies join into the
    longest possible factor.
@@ -33,12 +33,15 @@ from pyspark.sql import functions as F
 
 from envspark.llm.common import mix, slices, span_hashes, texts_of, word_hashes
 
-WINDOW, GRAM = 20, 8
+WINDOW, GRAM = 20, 6
+_NO_ID = -2 ** 63
 
 # kinds of rows under one anchor or window
 ONE, COPY, CHECK, MANY = range(4)
 _TAG_BITS = 26
 _ROWS = "key long, other long, id long, place long"
+_TAG = f"place & {(1 << _TAG_BITS) - 1}"
+_COUNT = "if(place >> 28 & 15 = 0, other, place >> 28 & 15)"
 
 
 def _pack(start, count, kind, tag):
@@ -100,11 +103,35 @@ def _settled(key: np.ndarray, other: np.ndarray, ids: np.ndarray, start: np.ndar
             several = np.bincount(group, weights=new_block)[group] > 1
             kind[shared[several & ~later]] = CHECK
             told = k[new_key & several]
-    place = _pack(start, count, kind, tag)
-    key = np.where(kind == ONE, key, _spread(ids, place))
-    zeros = np.zeros(len(told), dtype=np.int64)
-    columns = [(key, told), (np.where(kind == ONE, other, 0), zeros), (ids, zeros), (place, _pack(zeros, 0, MANY, 0))]
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in columns],
+    open_ = kind != COPY
+    copies = _factors(*(x[~open_] for x in (ids, tag, start, count)))
+    place = _pack(start, count, kind, tag)[open_]
+    settled = _spread(ids[open_], place)
+    nothing = np.zeros(len(told), dtype=np.int64)
+    one = kind[open_] == ONE
+    return _rows(np.concatenate([np.where(one, key[open_], settled), told]),
+                 np.concatenate([np.where(one, other[open_], 0), nothing]),
+                 np.concatenate([ids[open_], nothing]), np.concatenate([place, _pack(nothing, 0, MANY, 0)]), *copies)
+
+
+def _factors(ids: np.ndarray, tag: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Neighbouring copies of a text as longest factors: id, tag, start, number of windows."""
+    order = np.lexsort((start, tag, ids))
+    ids, tag, start, end = ids[order], tag[order], start[order], (start + count)[order]
+    new = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (tag[1:] != tag[:-1])
+                                         | (start[1:] != end[:-1])])[:len(ids)])
+    last = np.concatenate([new[1:], [len(ids)]])[:len(new)] - 1
+    return ids[new], tag[new], start[new], end[last] - start[new]
+
+
+def _rows(key, other, ids, place, *factors) -> pa.RecordBatch:
+    """Open rows and factors; a factor's length is too long for `place` and stands in `other`."""
+    if factors:
+        f_id, f_tag, f_start, f_count = factors
+        f_place = _pack(f_start, 0, COPY, f_tag)
+        key, other = np.concatenate([key, _spread(f_id, f_place)]), np.concatenate([other, f_count])
+        ids, place = np.concatenate([ids, f_id]), np.concatenate([place, f_place])
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (key, other, ids, place)],
                                       names=["key", "other", "id", "place"])
 
 
@@ -122,21 +149,20 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _boundaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, tag, text, places) to factors of whole blocks and the windows that need a look."""
+    """(id, tag, text, places, counts) to factors of whole blocks and the windows that need a look."""
+    nothing = (np.empty(0, dtype=np.int64),)
     for batch in batches:
         ids, tags = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-        texts, places = list(texts_of(batch.column(2))), batch.column(3)
-        parts = [(np.empty(0, dtype=np.int64),) * 6]
-        factors = []
+        texts, parts, factors = list(texts_of(batch.column(2))), [nothing * 6], [nothing * 4]
         for low, high in slices([len(t) for t in texts]):
             words, bounds = word_hashes(texts[low:high])
             twins = mix(words ^ np.uint64(0x5851F42D4C957F2D))
             for i in range(low, high):
-                packed = np.sort(places[i].values.to_numpy(zero_copy_only=False))
-                start, count = packed >> 32, (packed >> 28) & 15
+                packed, count = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (3, 4))
+                start = packed >> 32
                 check = ((packed >> _TAG_BITS) & 3) == CHECK
-                factors += [(int(ids[i]), int(tags[i]), int(a), int(b))
-                            for a, b in joined(start[~check], count[~check])]
+                same = np.ones(len(start), dtype=np.int64)
+                factors.append(tuple(x[~check] for x in (ids[i] * same, tags[i] * same, start, count)))
                 if check.any():
                     one = np.repeat(start[check], count[check]) + _within(count[check])
                     at = one + bounds[i - low]
@@ -145,13 +171,7 @@ def _boundaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                   span_hashes(twins, at, at + WINDOW).astype(np.int64),
                                   ids[i] * same, one, same, tags[i] * same))
         yield _settled(*(np.concatenate(c) for c in zip(*parts)), by_window=True)
-        if factors:
-            whole = np.array(factors, dtype=np.int64)
-            # a factor may be longer than a packed count can say: its length takes the place of `other`
-            place = _pack(whole[:, 2], 0, COPY, whole[:, 1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in (_spread(whole[:, 0], place), whole[:, 3], whole[:, 0], place)],
-                names=["key", "other", "id", "place"])
+        yield _rows(*nothing * 4, *_factors(*(np.concatenate(c) for c in zip(*factors))))
 
 
 def _within(counts: np.ndarray) -> np.ndarray:
@@ -216,10 +236,9 @@ def _open_and_copies(rows: DataFrame) -> DataFrame:
              .when((F.col("kind") == MANY) | (F.col("n") == 1), F.lit(None))
              .when(later, F.lit(COPY))
              .when(F.col("many") | (F.col("low") != F.col("high")), F.lit(CHECK)))
-    tag = F.expr(f"place & {(1 << _TAG_BITS) - 1}")
     settled = F.expr(f"(place & ~{3 << _TAG_BITS}L)").bitwiseOR(F.shiftleft(F.col("found").cast("long"), _TAG_BITS))
-    return (seen.withColumn("found", found).filter("found IS NOT NULL")
-            .select("id", tag.alias("tag"), settled.alias("place")))
+    return seen.withColumn("found", found).filter("found IS NOT NULL").select(
+        "id", F.expr(_TAG).alias("tag"), settled.alias("place"), F.expr(_COUNT).alias("count"))
 
 
 def _copied_windows(rows: DataFrame) -> DataFrame:
@@ -228,27 +247,25 @@ def _copied_windows(rows: DataFrame) -> DataFrame:
     here = F.struct(F.col("id"), F.expr("place >> 32"))
     same = Window.partitionBy("key", "other")
     seen = rows.withColumn("kind", kind).withColumn("lead", F.min(F.when(F.col("kind") == ONE, here)).over(same))
-    count = F.expr("(place >> 28) & 15")
-    return (seen.filter((F.col("kind") == COPY) | (here > F.col("lead")))
-            .select("id", F.expr(f"place & {(1 << _TAG_BITS) - 1}").alias("tag"), F.expr("place >> 32").alias("start"),
-                    F.when(count == 0, F.col("other")).otherwise(count).alias("count")))
+    return seen.filter((F.col("kind") == COPY) | (here > F.col("lead"))).select(
+        "id", F.expr(_TAG).alias("tag"), F.expr("place >> 32").alias("start"), F.expr(_COUNT).alias("count"))
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`key`, n_words, n_removed, kept (words left, joined by one space), removed_spans (starts and ends in turn)."""
     body = F.col(f"`{text}`")
+    # the same three columns serve both joins, so that texts are shuffled once
     texts = docs.select(
-        F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(-2 ** 63)).alias("id"),
-        F.expr(f"xxhash64(`{text}`) & {(1 << _TAG_BITS) - 1}").alias("tag"), body.alias("text"),
-        F.col(f"`{key}`").alias("own_key"))
-    blocks = texts.select("id", "tag", "text").mapInArrow(_index, _ROWS)
-    places = _open_and_copies(blocks).groupBy("id", "tag").agg(F.collect_list("place").alias("places"))
-    looked = (texts.join(places, ["id", "tag"]).select("id", "tag", "text", "places")
-              .mapInArrow(_boundaries, _ROWS))
-    spans = _copied_windows(looked).groupBy("id", "tag").agg(
+        F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(_NO_ID)).alias("id"),
+        F.expr(f"xxhash64(`{text}`) & {(1 << _TAG_BITS) - 1}").alias("tag"), body.alias("text"))
+    blocks = texts.mapInArrow(_index, _ROWS)
+    # shuffled as single rows: lists of one or two would be larger than the rows
+    places = _open_and_copies(blocks).repartition("id", "tag").groupBy("id", "tag").agg(F.collect_list(F.struct("place", "count")).alias("at"))
+    looked = texts.join(places, ["id", "tag"]).select("id", "tag", "text", "at.place", "at.count")
+    windows = looked.mapInArrow(_boundaries, _ROWS)
+    spans = _copied_windows(windows).repartition("id", "tag").groupBy("id", "tag").agg(
         F.collect_list(F.struct("start", "count")).alias("spans"))
-    kept = (texts.join(spans, ["id", "tag"], "left")
-            .select("text", F.col("spans.start").alias("starts"), F.col("spans.count").alias("counts"),
-                    F.col("own_key").alias(key)))
-    kind = dict(docs.dtypes)[key]
-    return kept.mapInArrow(_keep, f"`{key}` {kind}, n_words long, n_removed long, kept string, removed_spans array<long>")
+    kept = texts.join(spans, ["id", "tag"], "left").select("text", "spans.start", "spans.count", "id")
+    found = kept.mapInArrow(_keep, "id long, n_words long, n_removed long, kept string, removed_spans array<long>")
+    own = F.when(F.col("id") != _NO_ID, F.col("id")).cast(dict(docs.dtypes)[key])
+    return found.select(own.alias(key), "n_words", "n_removed", "kept", "removed_spans")

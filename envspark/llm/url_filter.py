@@ -4,8 +4,8 @@ A rule is a host and a path prefix; it fits the host and its subdomains, and the
 fitting rule decides. Other urls are judged by a logistic regression over the hashed
 n-grams of host and path, fitted on the driver from a small labelled table.
 
-Cases: a null url, or one without `://`, has an empty host and path, fits no rule and has only
-the model's constant; of rules of equal length the first in order wins (two rules that fit have
+Cases: a null url, or one without `://`, has an empty host and path, fits no rule and is
+allowed, as it has no known n-grams; of rules of equal length the first in order wins (two rules that fit have
 equal length only if they are equal); repeated rows are judged each; other columns are ignored.
 """
 
@@ -93,25 +93,23 @@ def split(url: str) -> tuple[str, str]:
     return host.lower(), slash + path
 
 
-def fit(labelled: Sequence[tuple[str, int]] = LABELLED, steps: int = 400, rate: float = 2.0,
-        decay: float = 1e-3) -> np.ndarray:
-    """Weights by place, the constant last; gradient steps on the mean loss with both classes weighing the same."""
+def fit(labelled: Sequence[tuple[str, int]] = LABELLED, steps: int = 600, rate: float = 4.0,
+        decay: float = 3e-4) -> np.ndarray:
+    """Weights by place, without a constant: what is unknown scores one half. Gradient steps on the mean loss with both classes weighing the same."""
     rows = [places(*split(url)) for url, _ in labelled]
     used = sorted(set().union(*rows))
     column = {place: i for i, place in enumerate(used)}
-    marks = np.zeros((len(rows), len(used) + 1))
-    marks[:, -1] = 1.0
+    marks = np.zeros((len(rows), len(used)))
     for mark, row in zip(marks, rows):
         mark[[column[p] for p in row]] = 1 / np.sqrt(len(row))
     wanted = np.array([y for _, y in labelled], dtype=float)
     share = np.where(wanted == 1, 0.5 / max(1, wanted.sum()), 0.5 / max(1, (1 - wanted).sum()))
-    damped = np.append(np.full(len(used), decay), 0.0)
-    weights = np.zeros(len(used) + 1)
+    weights = np.zeros(len(used))
     for _ in range(steps):
         chance = 1 / (1 + np.exp(-marks @ weights))
-        weights -= rate * (marks.T @ ((chance - wanted) * share) + damped * weights)
-    out = np.zeros(PLACES + 1)
-    out[used], out[-1] = weights[:-1], weights[-1]
+        weights -= rate * (marks.T @ ((chance - wanted) * share) + decay * weights)
+    out = np.zeros(PLACES)
+    out[used] = weights
     return out
 
 
@@ -127,7 +125,7 @@ def judged(pages: DataFrame, key: str = "page_id", url: str = "url", rules: Sequ
             out = np.empty(len(hosts))
             for i, (host, path) in enumerate(zip(hosts, paths)):
                 found = places(host, path)
-                out[i] = weights[found].sum() / np.sqrt(max(1, len(found))) + weights[-1]
+                out[i] = weights[found].sum() / np.sqrt(max(1, len(found)))
             yield pd.Series(1 / (1 + np.exp(-out)))
 
     parts = pages.select(F.col(f"`{key}`"), host_of(F.col(f"`{url}`")).alias("host"), path_of(F.col(f"`{url}`")).alias("path"))

@@ -1,0 +1,123 @@
+"""Language ID, URL filter and token counts."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from cases import EXTRA, frame, odd_rows, row
+from conftest import MEDIUM
+
+from envspark.llm import language, token_counts, url_filter
+from envspark.llm.queries import queries, vocabulary
+
+
+def test_language_of_held_out_documents(spark):
+    found = queries()["op6_language_id"](spark, MEDIUM).alias("f")
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").alias("d")
+    rows = found.join(docs, "doc_id").select("held_out", "lang_pred", "lang", "score").collect()
+    held = [r for r in rows if r.held_out]
+    assert len(rows) == docs.count() and len(held) > 100
+    assert sum(r.lang_pred == r.lang for r in held) >= 0.98 * len(held)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_language_of_odd_rows(spark):
+    docs = frame(spark, odd_rows())
+    model = language.fit(docs)
+    found, name, score = language.identified(docs, model)
+    assert found.columns == [*docs.columns, name, score] and score != "score"
+    for r in found.collect():
+        letters = any(c.isalpha() for c in r.text or "")
+        assert (r[name] == language.UNKNOWN) == (not letters) and 0 <= r[score] <= 1
+    assert language.fit(frame(spark, [])) is None
+    unknown, name, _ = language.identified(docs, None)
+    assert {r[name] for r in unknown.select(name).collect()} == {language.UNKNOWN}
+    assert language.identified(frame(spark, []), model)[0].collect() == []
+
+
+def test_language_learns_from_the_other_folds_only(spark):
+    rows = [row(i, "der die das und nicht" if i % 2 else "the and with for that", "de" if i % 2 else "en") for i in range(60)]
+    wrong = [(r[0], r[1], "xx", *r[3:]) for r in rows]
+    docs = frame(spark, rows)
+    out = {r.doc_id for r in docs.filter(language.held_out(docs.doc_id)).collect()}
+    mixed = frame(spark, [w if r[0] in out else r for r, w in zip(rows, wrong)])
+    assert language.fit(mixed).languages == ("de", "en")
+
+
+def test_presence_kernel():
+    import numpy as np
+
+    texts = [b"ab ab", b"AB!ab.", b"", "é".encode()]
+    marks = language.presence(texts)
+    assert np.array_equal(marks[0], marks[1]) and marks[2].sum() <= 2 and np.array_equal(language.presence(texts[1:2])[0], marks[0])
+    kernel = language.scaled(marks) @ language.scaled(marks).T
+    assert abs(kernel[0, 0] - 1) < 1e-5 and abs(kernel[0, 1] - 1) < 1e-5 and kernel[0, 3] < 0.9
+
+
+URLS = [
+    (1, "http://Blog.X.NET/en/1?a=b", "blog.x.net", "/en/1", "net/", "block"),
+    (2, "https://www.example.net/en/7#t", "www.example.net", "/en/7", "example.net/en/", "allow"),
+    (3, "https://example.net/en", "example.net", "/en", "net/", "block"),
+    (4, "http://a.example.com/de/", "a.example.com", "/de/", "example.com/de/", "block"),
+    (5, "http://notexample.com/de/1", "notexample.com", "/de/1", None, None),
+    (6, "x://w.org/fr/", "w.org", "/fr/", "org/fr/", "allow"),
+    (7, "http://net", "net", "", None, None),
+    (8, "http://a.net?q=/", "a.net", "", None, None),
+    (9, None, "", "", None, "allow"),
+    (10, "no scheme/net/", "", "", None, "allow"),
+    (11, "http://cheap-pills.example.org/en/1", "cheap-pills.example.org", "/en/1", None, "block"),
+    (12, "http://www.harbour.example.org/en/1", "www.harbour.example.org", "/en/1", None, "allow"),
+    (None, "", "", "", None, "allow"),
+    (1, "http://Blog.X.NET/en/1?a=b", "blog.x.net", "/en/1", "net/", "block"),
+]
+
+
+def test_url_filter(spark):
+    pages = spark.createDataFrame([(i, u, "x", *EXTRA[:2]) for i, u, *_ in URLS],
+                                  "page_id long, url string, host string, verdict long, score double")
+    got = {(r.page_id, r.host, r.path, r.rule): r for r in url_filter.judged(pages).collect()}
+    assert url_filter.judged(pages).count() == len(URLS)
+    for i, _, host, path, rule, verdict in URLS:
+        r = got[i, host, path, rule]
+        assert r.verdict in ("block", "allow") and (verdict is None or r.verdict == verdict)
+    assert url_filter.judged(pages.limit(0)).collect() == []
+
+
+def test_url_model_separates_its_table():
+    import numpy as np
+
+    weights = url_filter.fit()
+    for url, label in url_filter.LABELLED:
+        found = url_filter.places(*url_filter.split(url))
+        assert (1 / (1 + np.exp(-weights[found].sum() / np.sqrt(len(found)))) >= url_filter.THRESHOLD) == label
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    pieces = token_counts.vocabulary(vocabulary("piece_bpe_32k.model"))
+    made = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=True))
+    made.pre_tokenizer = pre_tokenizers.Metaspace(replacement=token_counts.BLANK, prepend_scheme="first", split=False)
+    return made
+
+
+def test_token_counts_equal_the_tokenizer(spark, tokenizer):
+    rows = [r for r in odd_rows() if r[0] != 12] + [row(700, "<s> <unk> <0x0A> ▁▁ a▁b  "), row(701, " "), row(702, "  lead")]
+    got = token_counts.counted(frame(spark, rows), vocabulary("piece_bpe_32k.model")).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in got) == sorted(
+        (str(r[0]), len(tokenizer.encode(r[1] or "").ids)) for r in rows)
+    assert token_counts.counted(frame(spark, []), vocabulary("piece_bpe_32k.model")).collect() == []
+
+
+def test_token_counts_with_ties():
+    from tokenizers import Tokenizer, models
+
+    draw = random.Random(4)
+    pieces = [("<unk>", -30.0)] + [(p, float(-draw.randint(1, 4))) for p in ("a", "b", "ab", "ba", "aab", "bb", "abab", "▁", "▁a")]
+    exact = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=False))
+    counter = token_counts.Counter(pieces)
+    for _ in range(300):
+        text = "▁" + "".join(draw.choice("ab▁") for _ in range(draw.randint(1, 12)))
+        assert counter.count(text)[0] == len(exact.encode(text).ids), text
