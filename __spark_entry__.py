@@ -15,12 +15,14 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +77,18 @@ def _rounded(df: DataFrame, digits: int = 6, columns: Sequence[str] | None = Non
     return df.select(*[F.round(c, digits).alias(c) if c in chosen else F.col(c) for c in df.columns])
 
 
+_kept: dict[str, DataFrame] = {}
+
+
+def _keep(name: str, df: DataFrame) -> DataFrame:
+    """Keep a narrow frame that a query reads several times, until the query is asked for again."""
+    before = _kept.pop(name, None)
+    if before is not None and before.sparkSession.sparkContext.applicationId == df.sparkSession.sparkContext.applicationId:
+        before.unpersist()
+    _kept[name] = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df
+
+
 _models: dict[tuple, tuple[PipelineModel, DataFrame]] = {}
 
 
@@ -221,12 +235,11 @@ def predictions_page_deep(spark, sf_dir):
     raw = _readings(spark, sf_dir)
     buckets = fit_order_buckets(raw)
     served = serving.served_rows(pipeline.persistence_predictions(raw, buckets=buckets))
-    return serving.page(served, 59, 100, buckets, merge_rows=1000).select(*serving.SERVED_COLUMNS)
+    return serving.page(served, 59, 100, buckets).select(*serving.SERVED_COLUMNS)
 
 
 def page_info(spark, sf_dir):
-    rows = _predictions(spark, sf_dir)
-    return serving.page_info(serving.filter_predictions(rows, zone="south"), rows, 3, 15)
+    return serving.page_info(_predictions(spark, sf_dir), serving.matches(zone="south"), 3, 15)
 
 
 def rolling_global(spark, sf_dir):
@@ -250,20 +263,40 @@ def zone_onehot(spark, sf_dir):
     return encoded.select("reading_id", "zone", *[slots[i].alias(f"slot_{i}") for i in range(5)])
 
 
-def assembled(spark, sf_dir):
-    vectors = forest.numeric_assembler(FULL).transform(_features(spark, sf_dir))
-    rows = vectors.select("reading_id", vector_to_array("numeric_features").alias("v"))
-    return _rounded(rows.select("reading_id", F.size("v").alias("dims"),
-                                *[F.col("v")[i].alias(f) for i, f in enumerate(FULL.features)]))
+def assembled(profile):
+    p = FULL if profile == "full" else LITE
 
+    def query(spark, sf_dir):
+        vectors = forest.numeric_assembler(p).transform(_features(spark, sf_dir, profile))
+        rows = vectors.select("reading_id", vector_to_array("numeric_features").alias("v"))
+        return _rounded(rows.select("reading_id", F.size("v").alias("dims"),
+                                    *[F.col("v")[i].alias(f) for i, f in enumerate(p.features)]))
+    return query
 
-def scaled_features(spark, sf_dir):
-    vectors = forest.numeric_assembler(FULL).transform(_features(spark, sf_dir)).select(
-        "reading_id", "numeric_features")
-    scaled = forest.scaler().fit(vectors).transform(vectors)
-    rows = scaled.select("reading_id", vector_to_array("scaled_features").alias("v"))
-    return _rounded(rows.select("reading_id", *[F.col("v")[i].alias(f"z_{f}")
-                                                for i, f in enumerate(FULL.features)]))
+
+def scaled_features(profile):
+    p = FULL if profile == "full" else LITE
+
+    def query(spark, sf_dir):
+        vectors = forest.numeric_assembler(p).transform(_features(spark, sf_dir, profile)).select(
+            "reading_id", "numeric_features")
+        vectors = _keep(f"scaled_{profile}", vectors)  # fit and transform read it
+        scaled = forest.scaler().fit(vectors).transform(vectors)
+        rows = scaled.select("reading_id", vector_to_array("scaled_features").alias("v"))
+        return _rounded(rows.select("reading_id", *[F.col("v")[i].alias(f"z_{f}") for i, f in enumerate(p.features)]))
+    return query
+
+
+def final_vector(spark, sf_dir):
+    """The model's input: scaled numbers, then the one-hot zone."""
+    frame = _features(spark, sf_dir).select("reading_id", "zone", *FULL.features)
+    out = _keep("final_vector", frame)
+    for stage in (forest.zone_indexer(), forest.zone_encoder(), forest.numeric_assembler(FULL), forest.scaler(),
+                  forest.final_assembler()):
+        out = (stage.fit(out) if hasattr(stage, "fit") else stage).transform(out)
+    rows = out.select("reading_id", vector_to_array("features").alias("v"))
+    names = [f"z_{f}" for f in FULL.features] + [f"slot_{i}" for i in range(5)]
+    return _rounded(rows.select("reading_id", F.size("v").alias("dims"), *[F.col("v")[i].alias(n) for i, n in enumerate(names)]))
 
 
 def split_hash(spark, sf_dir):
@@ -286,8 +319,73 @@ def data_summary(spark, sf_dir):
 
 
 def seasonal_quartiles(spark, sf_dir):
-    frame = ft.with_calendar(_indexed(spark, sf_dir), FULL)
-    return _rounded(quantiles.seasonal_quartiles(frame))
+    frame = ft.with_calendar(_indexed(spark, sf_dir), FULL).select("month", "aqi")
+    return _rounded(quantiles.seasonal_quartiles(_keep("seasonal", frame)))
+
+
+def csv_features(spark, sf_dir):
+    """Readings written as CSV text and read back, typed and taken through all features."""
+    raw = _readings(spark, sf_dir).select("reading_id", "datetime", *MEASURES, "station")
+    fields = ", ".join(f"{n} {'string' if n == 'datetime' else t}" for n, t in raw.dtypes)
+    lines = raw.select(F.to_csv(F.struct(*raw.columns), {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}).alias("line"))
+    back = lines.select(F.from_csv("line", F.lit(fields)).alias("r")).select("r.*")
+    return _rounded(pipeline.features(src.typed(back), "full"))
+
+
+def report_bundle(spark, sf_dir):
+    """Rows of each result set of a run, on the persistence prediction."""
+    raw = _readings(spark, sf_dir)
+    scored = _keep("report_bundle", pipeline.persistence_predictions(raw))
+    bundle = analysis.run_report(raw, None, scored, scored, "full")
+    counts = [df.agg(F.lit(name).alias("name"), F.count("*").alias("n_rows")) for name, df in sorted(bundle.items())]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def rf_checked(profile):
+    """What can be said of the forest's scores without knowing the trees."""
+    def query(spark, sf_dir):
+        model, scored = _model(spark, sf_dir, profile)
+        labels = scored.agg(F.min("aqi").alias("low"), F.max("aqi").alias("high")).first()
+        train = _train_range(spark, sf_dir, profile)
+        low, high = min(labels.low, train.low), max(labels.high, train.high)
+        square = lambda p: F.sum(F.pow(F.col("aqi") - F.col(p), 2))
+        off = scored.agg(square("prediction").alias("forest"), square("aqi_lag1").alias("persistence")).first()
+        return _rounded(scored.select(
+            "reading_id", "zone", "hour", "aqi", "aqi_category",
+            F.col("prediction").between(low - 1e-6, high + 1e-6).alias("in_label_range"),
+            F.lit(off.forest < off.persistence).alias("beats_persistence")))
+    return query
+
+
+def _train_range(spark, sf_dir, profile):
+    return _indexed(spark, sf_dir, profile).agg(F.min("aqi").alias("low"), F.max("aqi").alias("high")).first()
+
+
+def importance_checked(spark, sf_dir):
+    rows = feature_importance(spark, sf_dir)
+    whole = Window.partitionBy(F.lit(0))  # a row per model input
+    ranked = rows.withColumn("place", F.row_number().over(whole.orderBy(F.desc("importance"), "feature")))
+    return ranked.select(
+        "feature", (F.round(F.sum("importance").over(whole), 6) == 1.0).alias("adds_up"),
+        F.col("importance").between(0.0, 1.0).alias("is_share"),
+        F.sum((F.col("place") <= 10).cast("int")).over(whole).alias("top_rows"))
+
+
+def forecast_checked(spark, sf_dir):
+    rows = forecast_24h(spark, sf_dir)
+    # shown values are rounded to a tenth, categories come from the exact ones
+    agrees = F.lit(False)
+    for shift in (-0.05, 0.0, 0.05):
+        agrees = agrees | (F.col("predicted_category") == indices.category(F.col("predicted_aqi") + shift))
+    return rows.select("hour", "zone", agrees.alias("category_agrees"), (F.col("predicted_aqi") >= 0).alias("not_negative"))
+
+
+def split_random_checked(spark, sf_dir):
+    rows = split_random(spark, sf_dir)
+    return rows.agg(F.count("*").alias("total"), (F.count("*") == F.count_distinct("reading_id")).alias("disjoint"),
+                    # two points, or four standard deviations of a small table
+                    (F.abs(F.avg(F.col("is_train").cast("int")) - 0.8)
+                     < F.greatest(F.lit(0.02), 1.6 / F.sqrt(F.count("*")))).alias("near_share"))
 
 
 def rf_fit_predict(profile):
@@ -356,7 +454,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             quality.impute_mean(quality.nullify_sentinels(r)))),
         "aqi_not_null": aqi_not_null,
         # profiling and raw aggregates
-        "missing_profile": on_readings(lambda r: quality.missing_profile(r, ["datetime", *MEASURES]), 6),
+        "missing_profile": on_readings(quality.missing_profile, 6),
         "range_profile": on_readings(quality.range_profile),
         "pollutant_stats": on_readings(quality.pollutant_stats),
         "describe_readings": on_readings(quality.describe_long, 4),
@@ -430,8 +528,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # model
         "zone_index": zone_index,
         "zone_onehot": zone_onehot,
-        "assembled": assembled,
-        "scaled_features": scaled_features,
+        "assembled": assembled("full"),
+        "assembled_lite": assembled("lite"),
+        "scaled_features": scaled_features("full"),
+        "scaled_features_lite": scaled_features("lite"),
+        "final_vector": final_vector,
+        "csv_features": csv_features,
+        "report_bundle": report_bundle,
+        "rf_checked": rf_checked("full"),
+        "rf_checked_lite": rf_checked("lite"),
+        "importance_checked": importance_checked,
+        "forecast_checked": forecast_checked,
+        "split_random_checked": split_random_checked,
         "split_hash": split_hash,
         "split_random": split_random,
         "forecast_frame": lambda s, d: _rounded(fc.forecast_frame(_features(s, d)), 4),

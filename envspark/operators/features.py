@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from envspark.operators.quality import column_means, fill_missing
 from envspark.operators.windows import OrderBuckets, fit_order_buckets, windowed
 from envspark.profiles import LAG_FEATURES, LAGS, POLLUTANTS, Profile, profile_of
 
-MAX_BANDS = 1000
+_INF = float("inf")
 
 
 def with_sub_indices(df: DataFrame, profile: str | Profile) -> DataFrame:
@@ -29,14 +30,28 @@ def categorize_by_table(df: DataFrame, column: str, bands: Sequence[tuple[str, f
                         target: str = "category") -> DataFrame:
     """Look a value up in a table of (name, lo exclusive, hi inclusive) rows; NULL where none fits.
 
-    The table comes as a Python sequence of at most `MAX_BANDS` rows, which bounds what is broadcast.
+    The bands are sorted and must not overlap, so that a binary search finds the only one that may fit.
     """
-    if len(bands) > MAX_BANDS:
-        raise ValueError(f"{len(bands)} bands are too many to compare every row with, at most {MAX_BANDS}")
-    table = df.sparkSession.createDataFrame(list(bands), "name string, lo double, hi double")
-    value = F.col(column)
-    matched = df.join(F.broadcast(table), (value > F.col("lo")) & (value <= F.col("hi")), "left")
-    return matched.withColumn(target, F.col("name")).drop("name", "lo", "hi")
+    ordered = sorted((lo, hi, name) for name, lo, hi in bands if lo < hi)
+    for (_, hi, name), (lo, _, other) in zip(ordered, ordered[1:]):
+        if lo < hi:
+            raise ValueError(f"bands {name!r} and {other!r} overlap")
+    if not ordered:
+        return df.withColumn(target, F.lit(None).cast("string"))
+    # the search takes pieces that include their lower end, so it looks at the negated value
+    edges = sorted({-x for lo, hi, _ in ordered for x in (lo, hi)})
+    names = {(-hi, -lo): name for lo, hi, name in ordered}
+    pieces = [names.get(p) for p in zip([-_INF, *edges], [*edges, _INF])]
+    splits = [-_INF, *edges, _INF]
+    if edges[0] == -_INF:
+        splits, pieces = splits[1:], pieces[1:]
+    if edges[-1] == _INF:
+        splits, pieces = splits[:-1], pieces[:-1]
+    place, value = "_place", "_value"
+    found = Bucketizer(splits=splits, inputCol=value, outputCol=place, handleInvalid="keep").transform(
+        df.withColumn(value, -F.col(f"`{column}`").cast("double")))
+    named = F.get(F.array(*[F.lit(p).cast("string") for p in pieces]), F.col(place).cast("int"))
+    return found.withColumn(target, named).drop(place, value)
 
 
 def with_calendar(df: DataFrame, profile: str | Profile, source: str = "datetime") -> DataFrame:

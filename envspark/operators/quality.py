@@ -49,14 +49,14 @@ def nullify_sentinels(df: DataFrame, columns: Sequence[str] = MEASURES,
         # NaN equals itself in Spark, so one IN covers it too and the column is
         # written out only twice when later filters are pushed through here
         missing = [f"{float(v)!r}D" for v in overrides.get(name, sentinels)] + ["double('NaN')"]
-        return F.expr(f"CASE WHEN {name} IN ({', '.join(missing)}) THEN NULL ELSE {name} END")
+        return F.expr(f"CASE WHEN `{name}` IN ({', '.join(missing)}) THEN NULL ELSE `{name}` END")
 
     return df.withColumns({c: cleaned(c) for c in _present(df, columns)})
 
 
 def column_means(df: DataFrame, columns: Sequence[str]) -> Column:
     """Means of `columns` as one struct-valued scalar subquery: one pass, nothing collected."""
-    return df.agg(F.struct(*[F.avg(c).alias(c) for c in columns]).alias("means")).scalar()
+    return df.agg(F.struct(*[F.avg(f"`{c}`").alias(c) for c in columns]).alias("means")).scalar()
 
 
 def fill_missing(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:

@@ -20,17 +20,17 @@ from envspark.operators.windows import default_buckets
 _INF = float("inf")
 
 
-def exact_quantiles(df: DataFrame, group: str, labels: Sequence[str], value: str,
-                    probabilities: Sequence[float], buckets: int | None = None) -> DataFrame:
-    """(group, probability, quantile, count) with linear interpolation; NULL and NaN are left out.
+def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Sequence[float],
+                    buckets: int | None = None) -> DataFrame:
+    """(group, probability, quantile, count) of every group, a missing one included, with linear
+    interpolation. NULL and NaN values are left out; a group without any other value has no rows.
 
-    The groups are those of a given list of labels, which bounds the ranks that
-    are looked for and therefore what is broadcast.
+    The value column is evaluated three times: persist a frame of group and value if it is costly.
     """
     # NULL and NaN are left out by counting, not by a filter: a filter on a computed
     # value would be pushed down and repeat its whole expression for every mention.
     buckets = buckets or default_buckets(df)
-    known = df.select(group, F.col(value).cast("double").alias("v"))
+    known = df.select(F.struct(group).alias("g"), F.col(value).cast("double").alias("v"))
     usable = F.count(F.when(~F.isnan("v"), F.col("v")))
     cuts = sorted(set(known.approxQuantile("v", [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)))
                   ) if buckets > 1 else []
@@ -40,11 +40,11 @@ def exact_quantiles(df: DataFrame, group: str, labels: Sequence[str], value: str
     else:
         bucketed = known.withColumn("b", F.lit(0))
 
-    # bounded: one row per group and bucket
-    sizes = bucketed.groupBy(group, "b").agg(usable.alias("n"))
-    by_group = Window.partitionBy(group)
-    spans = sizes.filter(F.col(group).isin(*labels)).select(
-        group, "b", "n", F.sum("n").over(by_group).alias("total"),
+    # one row per group and bucket; `g` is a struct, so that a missing group joins like any other
+    sizes = bucketed.groupBy("g", "b").agg(usable.alias("n"))
+    by_group = Window.partitionBy("g")
+    spans = sizes.filter("n > 0").select(
+        "g", "b", "n", F.sum("n").over(by_group).alias("total"),
         F.coalesce(F.sum("n").over(by_group.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("start"))
     # ranks count from 0; a quantile lies between the ranks below and above its position
@@ -55,19 +55,19 @@ def exact_quantiles(df: DataFrame, group: str, labels: Sequence[str], value: str
                  F.floor("position"), F.ceil("position")))))
              .filter((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("n"))))
 
-    # bounded: at most two rows per label and probability
-    touched = ranks.select(group, "b", "start").distinct()
-    candidates = (bucketed.join(F.broadcast(touched), [group, "b"])
-                  .groupBy(group, "b", "start", "v").agg(usable.alias("k")))
-    running = (Window.partitionBy(group, "b").orderBy("v")
+    # at most two rows per group and probability; Spark broadcasts them if they are few
+    touched = ranks.select("g", "b", "start").distinct()
+    candidates = (bucketed.join(touched, ["g", "b"])
+                  .groupBy("g", "b", "start", "v").agg(usable.alias("k")))
+    running = (Window.partitionBy("g", "b").orderBy("v")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     runs = candidates.withColumn("end", F.col("start") + F.sum("k").over(running))
-    hit = (runs.select(group, "b", "v", "k", "end").join(F.broadcast(ranks), [group, "b"])
+    hit = (runs.select("g", "b", "v", "k", "end").join(ranks, ["g", "b"])
            .filter((F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("k"))))
     weight = F.col("position") - F.floor("position")
     low, high = F.min("v"), F.max("v")
-    return (hit.groupBy(group, "probability", "position", "total").agg(low.alias("low"), high.alias("high"))
-            .select(group, "probability",
+    return (hit.groupBy("g", "probability", "position", "total").agg(low.alias("low"), high.alias("high"))
+            .select(F.col("g")[group].alias(group), "probability",
                     (F.col("low") + weight * (F.col("high") - F.col("low"))).alias("quantile"),
                     F.col("total").alias("count")))
 
@@ -80,7 +80,6 @@ def seasonal_quartiles(df: DataFrame, value: str = "aqi", approximate: bool = Fa
         points = F.percentile_approx("v", list(names.values()), 100_000)
         return (seasonal.groupBy("season").agg(F.count("v").alias("count"), points.alias("p"))
                 .select("season", "count", *[F.col("p")[i].alias(n) for i, n in enumerate(names)]))
-    exact = exact_quantiles(seasonal, "season", [label for label, _ in temporal.SEASONS], "v",
-                            list(names.values()))
+    exact = exact_quantiles(seasonal, "season", "v", list(names.values()))
     return exact.groupBy("season").agg(F.max("count").alias("count"), *[
         F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(n) for n, p in names.items()])

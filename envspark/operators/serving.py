@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from envspark.operators.reports import first_rows
-from envspark.operators.windows import MERGE_ROWS, OrderBuckets, slice_rows
+from envspark.operators.windows import OrderBuckets, slice_rows
 from envspark.profiles import CATEGORY_SLUGS
 
 SAMPLE_ROWS = 500
@@ -30,27 +30,32 @@ def prediction_sample(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
     return served_rows(first_rows(df, n)).select(*SERVED_COLUMNS)
 
 
-def filter_predictions(df: DataFrame, zone: str = "all", category: str = "all") -> DataFrame:
+def matches(zone: str = "all", category: str = "all") -> Column:
     """Rows of a zone (any part of its name, case and `_` ignored) and of a category (slug or label)."""
+    match = F.lit(True)
     if zone != "all":
         wanted = zone.lower().replace("_", " ")
-        df = df.filter(F.translate(F.lower("zone"), "_", " ").contains(wanted))
+        match = match & F.translate(F.lower("zone"), "_", " ").contains(wanted)
     if category != "all":
-        df = df.filter(F.col("aqi_category") == CATEGORY_SLUGS.get(category, category))
-    return df
+        match = match & (F.col("aqi_category") == CATEGORY_SLUGS.get(category, category))
+    return match
+
+
+def filter_predictions(df: DataFrame, zone: str = "all", category: str = "all") -> DataFrame:
+    """The rows that match a zone and a category."""
+    return df.filter(matches(zone, category))
 
 
-def page(df: DataFrame, number: int = 1, per_page: int = PER_PAGE, buckets: OrderBuckets | None = None,
-         merge_rows: int = MERGE_ROWS) -> DataFrame:
+def page(df: DataFrame, number: int = 1, per_page: int = PER_PAGE,
+         buckets: OrderBuckets | None = None) -> DataFrame:
     """Rows of one 1-based page in (datetime, reading_id) order, near the front or deep."""
-    return slice_rows(df, (number - 1) * per_page, per_page, buckets, merge_rows=merge_rows)
+    return slice_rows(df, (number - 1) * per_page, per_page, buckets)
 
 
-def page_info(filtered: DataFrame, everything: DataFrame, number: int = 1,
-              per_page: int = PER_PAGE) -> DataFrame:
-    """total, page and pages: at least one page, but none when there are no predictions at all."""
-    any_row = everything.limit(1).agg(F.count("*") > 0).scalar()
-    counts = filtered.agg(F.count("*").alias("total"))
+def page_info(df: DataFrame, match: Column, number: int = 1, per_page: int = PER_PAGE) -> DataFrame:
+    """total, page and pages of the matching rows, in one pass: at least one page, but none
+    when there are no rows at all."""
+    counts = df.agg(F.count("*").alias("n"), F.count_if(match).alias("total"))
     pages = F.greatest(F.lit(1), F.ceil(F.col("total") / per_page))
     return counts.select("total", F.lit(number).alias("page"),
-                         F.when(any_row, pages).otherwise(F.lit(0)).cast("long").alias("pages"))
+                         F.when(F.col("n") > 0, pages).otherwise(F.lit(0)).cast("long").alias("pages"))

@@ -25,9 +25,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BUCKETS = 16_384
-# rows that the last task of a distributed top-n may have to merge
-MERGE_ROWS = 10_000_000
+# rows that a bucket should not exceed; larger tables get more buckets, not larger ones
+BUCKET_ROWS = 1_000_000
 
 BUCKET = "_bucket"
 _INF = float("inf")
@@ -51,9 +50,10 @@ def time_key(df: DataFrame, time: str) -> Column:
 
 
 def default_buckets(df: DataFrame) -> int:
-    """Twice the shuffle parallelism of the session, so that buckets spread evenly over tasks."""
+    """Twice the shuffle parallelism of the session, so that buckets spread evenly over tasks, or
+    more if buckets would exceed `BUCKET_ROWS`."""
     parallelism = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(MAX_BUCKETS, 2 * parallelism))
+    return max(1, 2 * parallelism, -(-df.count() // BUCKET_ROWS))
 
 
 def _quantiles(df: DataFrame, column: Column, buckets: int) -> list[float]:
@@ -115,7 +115,7 @@ def fit_order_buckets(df: DataFrame, time: str = "datetime", tie: str = "reading
     Any frame with the same ordering columns will do: cuts taken from a raw
     table stay right, only less even, for a filtered one.
     """
-    buckets = min(MAX_BUCKETS, buckets or default_buckets(df))
+    buckets = buckets or default_buckets(df.select(time))
     found = _quantiles(df, time_key(df, time), buckets)
     # A timestamp (or a missing one) that is two quantiles in a row fills at least a
     # whole bucket. It is set apart only where each timestamp has a key of its own.
@@ -210,17 +210,12 @@ def numbered(df: DataFrame, buckets: OrderBuckets, name: str,
 
 
 def slice_rows(df: DataFrame, start: int, count: int, buckets: OrderBuckets | None = None,
-               time: str = "datetime", tie: str = "reading_id", merge_rows: int = MERGE_ROWS) -> DataFrame:
+               time: str = "datetime", tie: str = "reading_id") -> DataFrame:
     """Rows `start`..`start + count - 1` (from 0) in the order (time, tie).
 
-    A top-n sends `start + count` rows from each task to one last task. Where that
-    would be more than `merge_rows`, rows are counted per bucket instead, which
-    leaves only the buckets of the slice to be sorted.
+    Rows are counted per bucket and only the buckets of the slice are sorted, so the work of the last step
+    depends on the slice alone, not on the tasks before it.
     """
-    parallelism = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if (start + count) * parallelism <= merge_rows:
-        ordered = df.orderBy(time, tie)
-        return (ordered.offset(start) if start else ordered).limit(count)
     position = "_position"
     return numbered(df, buckets or fit_order_buckets(df, time, tie), position, start + 1,
                     start + count).drop(position)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from envspark.ml.forest import feature_importance, fit_forest, score
+from envspark.ml.forest import feature_importance, fit_forest, persisted, score
 from envspark.operators import quality, reports, serving
 from envspark.operators.features import ml_frame
 from envspark.operators.windows import OrderBuckets
@@ -31,16 +34,18 @@ def train_and_score(readings: DataFrame, profile: str | Profile = "full",
     return model, score(model, test)
 
 
-def run_report(readings: DataFrame, model: PipelineModel, scored: DataFrame, all_rows: DataFrame,
+def run_report(readings: DataFrame, model: PipelineModel | None, scored: DataFrame, all_rows: DataFrame,
                profile: str | Profile = "lite") -> dict[str, DataFrame]:
     """The eight result sets of a run, each lazy until it is written or shown.
 
-    `scored` holds the test rows, `all_rows` train and test rows with a prediction.
+    `scored` holds the test rows, `all_rows` train and test rows with a prediction. Without a model, as
+    for the persistence prediction, the importances are left out.
     """
     p = profile_of(profile)
+    learned = {} if model is None else {"feature_importance": feature_importance(model, scored, p, top=10)}
     return {
         "metrics": reports.rounded_metrics(scored),
-        "feature_importance": feature_importance(model, scored, p, top=10),
+        **learned,
         "zones": reports.zone_risk(scored),
         "hourly_pattern": reports.hourly_risk(scored),
         "category_distribution": reports.category_distribution(scored),
@@ -48,3 +53,20 @@ def run_report(readings: DataFrame, model: PipelineModel, scored: DataFrame, all
         "data": reports.data_summary(readings, all_rows, len(p.features)),
         "pollutant_stats": quality.pollutant_stats(readings),
     }
+
+
+@contextmanager
+def run_all(readings: DataFrame, profile: str | Profile = "lite",
+            buckets: OrderBuckets | None = None) -> Iterator[dict[str, DataFrame]]:
+    """From readings to the eight result sets.
+
+    The rows are scored once and kept while the sets are written or shown inside the `with` block,
+    since most of them read the scores.
+    """
+    p = profile_of(profile)
+    frame = features(readings, p, buckets)
+    if p.name == "full":
+        frame = ml_frame(frame, p, EXTRA_COLUMNS)
+    model = fit_forest(reports.split_hash(frame)[0], p)
+    with persisted(score(model, frame)) as all_rows:
+        yield run_report(readings, model, reports.split_hash(all_rows)[1], all_rows, p)

@@ -6,25 +6,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from envspark.functions.temporal import with_timestamp
 from envspark.profiles import MEASURES
 
 CSV_SCHEMA = T.StructType(
     [T.StructField("datetime", T.StringType())]
     + [T.StructField(m, T.DoubleType()) for m in MEASURES]
 )
+KEYED_CSV_SCHEMA = T.StructType([T.StructField("reading_id", T.LongType()), *CSV_SCHEMA.fields])
+
+
+def typed(df: DataFrame) -> DataFrame:
+    """Readings as the plans want them: `datetime` zone-free and a stable `reading_id`.
+
+    Text that is no timestamp becomes NULL. Without an id the hash of the whole row stands for it, which
+    needs no shuffle and does not depend on partitioning; equal rows share one and are interchangeable.
+    """
+    columns = list(df.columns)
+    if "reading_id" in columns:
+        df = df.withColumn("reading_id", F.col("reading_id").cast("long"))
+    else:
+        content = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+        df = df.withColumn("reading_id", F.shiftrightunsigned(content, 12))  # exact as a double
+    return with_timestamp(df, "datetime", "datetime", strict=False)
 
 
 def read_readings(spark: SparkSession, path: str, infer: bool = False,
                   schema: T.StructType | None = None) -> DataFrame:
-    """Header CSV of hourly readings.
+    """Header CSV of hourly readings, typed, with or without a `reading_id`.
 
-    The explicit schema saves the extra inference scan and keeps whole-number
-    columns double; `infer=True` asks Spark to look at the data instead.
+    The explicit schema saves the inference scan and keeps whole-number columns double; only the
+    header is looked at. `infer=True` asks Spark to look at the data instead.
     """
     reader = spark.read.option("header", True)
     if infer:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema or CSV_SCHEMA).csv(path)
+        return typed(reader.option("inferSchema", True).csv(path))
+    if schema is None:
+        header = reader.csv(path).columns
+        known = {f.name: f for f in KEYED_CSV_SCHEMA.fields}
+        # columns stand in the order of the file, whatever that is
+        schema = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
+    return typed(reader.schema(schema).csv(path))
 
 
 def repartition(df: DataFrame, partitions: int = 20) -> DataFrame:
@@ -43,15 +65,11 @@ def _fourth_power(multiplier: int, divisor: int) -> str:
     return f"power(CAST((event_id * {multiplier}) % 100 AS DOUBLE), 4) / CAST({divisor} AS DOUBLE)"
 
 
-# The hour of row n is 2024-01-01 plus n hours. After a thousand years of hours
-# the grid starts again so that the timestamps of very large tables stay valid;
-# reading_id orders the rows that share an hour.
-GRID_HOURS = 8_766_000
-
 READING_EXPRESSIONS = {
     "reading_id": "event_id",
-    "datetime": "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
-                f" + make_dt_interval(0, CAST(event_id % {GRID_HOURS} AS INT), 0, 0)",
+    # the event's time cut to whole seconds, spread over all days of a year
+    "datetime": "CAST(ts AS TIMESTAMP_NTZ) - make_dt_interval(0, 0, 0, date_part('SECOND', ts) % 1)"
+                " + make_dt_interval(CAST(event_id % 366 AS INT))",
     "station": "event_type",
     "pm25": "CASE WHEN event_id % 97 = 0 THEN CAST(-999 AS DOUBLE)"
             " WHEN event_id % 101 = 0 THEN CAST(-1 AS DOUBLE)"

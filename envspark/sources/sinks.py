@@ -10,20 +10,19 @@ from pyspark.sql import functions as F
 from envspark.operators.reports import first_rows, zone_risk
 from envspark.operators.windows import OrderBuckets
 
-EXPORT_ROWS = 10_000
 EXPORT_COLUMNS = ("datetime", "zone", "pm25", "pm10", "no2", "co", "so2", "o3",
                   "temp", "rh", "wind", "aqi", "prediction", "aqi_category")
 
 
-def predictions_export(df: DataFrame, limit: int | None = EXPORT_ROWS,
+def predictions_export(df: DataFrame, limit: int | None = None,
                        buckets: OrderBuckets | None = None) -> DataFrame:
-    """The exported columns, prediction rounded; the first `limit` rows in time order or all."""
+    """The exported columns, prediction rounded; all rows or the first `limit` in time order."""
     if limit is not None:
         df = first_rows(df, limit, buckets)
     return df.withColumn("prediction", F.round("prediction", 2)).select(*EXPORT_COLUMNS)
 
 
-def write_predictions(df: DataFrame, path: str, limit: int | None = EXPORT_ROWS,
+def write_predictions(df: DataFrame, path: str, limit: int | None = None,
                       buckets: OrderBuckets | None = None) -> None:
     predictions_export(df, limit, buckets).write.mode("overwrite").csv(path, header=True)
 

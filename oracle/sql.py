@@ -11,6 +11,8 @@ MEASURES = POLLUTANTS + ["temp", "rh", "wind", "rain"]
 LAG_NAMES = ["pm25_lag1", "pm25_lag3", "pm10_lag1", "aqi_lag1", "pm25_rolling_avg"]
 FEATURES = (MEASURES + ["hour", "day_of_week", "month", "hour_sin", "hour_cos"] + LAG_NAMES
             + ["temp_humidity_interaction", "wind_pm25_interaction"])
+INTERACTIONS = ["temp_humidity_interaction", "wind_pm25_interaction"]
+LITE_INPUTS = [c for c in FEATURES if c != "rain"]
 
 
 def dbl(text) -> str:
@@ -44,7 +46,7 @@ def _fourth(m: int, d: int) -> str:
 
 READINGS = ("readings", f"""
 SELECT event_id AS reading_id,
-  TIMESTAMP '2024-01-01 00:00:00' + to_hours(event_id) AS datetime,
+  date_trunc('second', ts) + to_days(CAST(event_id % 366 AS INTEGER)) AS datetime,
   event_type AS station,
   CASE WHEN event_id % 97 = 0 THEN {dbl(-999)} WHEN event_id % 101 = 0 THEN {dbl(-1)}
        WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 107 = 0 THEN {dbl("'NaN'")}
@@ -87,30 +89,31 @@ LITE = [READINGS, ZONED, LITE_MEANS, LITE_CLEAN]
 
 # --- index ------------------------------------------------------------------
 # One line per linear piece: concentration from, to, index from, to. The last
-# piece of a pollutant goes on without end unless a cap is named.
+# piece of a pollutant goes on without end unless a cap is named. Fixed values.
 
 FULL_PIECES = {
-    "pm25": "0 12.0 0 50; 12.0 35.4 50 100; 35.4 55.4 100 150; 55.4 150.4 150 200; 150.4 250.4 200 300;"
-            " 250.4 350.4 300 400; 350.4 500.4 400 500",
-    "pm10": "0 54 0 50; 54 154 50 100; 154 254 100 150; 254 354 150 200; 354 424 200 300; 424 604 300 500",
-    "o3": "0 54 0 50; 54 70 50 100; 70 85 100 150; 85 105 150 200; 105 200 200 300",
-    "no2": "0 53 0 50; 53 100 50 100; 100 360 100 150; 360 649 150 200",
-    "so2": "0 35 0 50; 35 75 50 100; 75 185 100 150; 185 304 150 200",
-    "co": "0 4.4 0 50; 4.4 9.4 50 100; 9.4 12.4 100 150; 12.4 15.4 150 200",
+    "pm25": [(0, 12.0, 0, 50), (12.0, 35.4, 50, 100), (35.4, 55.4, 100, 150), (55.4, 150.4, 150, 200),
+             (150.4, 250.4, 200, 300), (250.4, 350.4, 300, 400), (350.4, 500.4, 400, 500)],
+    "pm10": [(0, 54, 0, 50), (54, 154, 50, 100), (154, 254, 100, 150),
+             (254, 354, 150, 200), (354, 424, 200, 300), (424, 604, 300, 500)],
+    "o3": [(0, 54, 0, 50), (54, 70, 50, 100), (70, 85, 100, 150), (85, 105, 150, 200), (105, 200, 200, 300)],
+    "no2": [(0, 53, 0, 50), (53, 100, 50, 100), (100, 360, 100, 150), (360, 649, 150, 200)],
+    "so2": [(0, 35, 0, 50), (35, 75, 50, 100), (75, 185, 100, 150), (185, 304, 150, 200)],
+    "co": [(0, 4.4, 0, 50), (4.4, 9.4, 50, 100), (9.4, 12.4, 100, 150), (12.4, 15.4, 150, 200)],
 }
 LITE_PIECES = {
-    "pm25": "0 12.0 0 50; 12.0 35.4 50 100; 35.4 55.4 100 150; 55.4 150.4 150 200; 150.4 250.4 200 300;"
-            " 250.4 500.4 300 500",
-    "pm10": "0 54 0 50; 54 154 50 100; 154 254 100 150; 254 354 150 200; 354 424 200 300; 424 604 300 500",
-    "o3": "0 54 0 50; 54 70 50 100; 70 85 100 150; 85 105 150 200; 105 200 200 300",
-    "no2": "0 53 0 50; 53 100 50 100; 100 360 100 150",
-    "so2": "0 35 0 50; 35 75 50 100; 75 185 100 150",
-    "co": "0 4.4 0 50; 4.4 9.4 50 100; 9.4 12.4 100 150",
+    "pm25": [(0, 12.0, 0, 50), (12.0, 35.4, 50, 100), (35.4, 55.4, 100, 150),
+             (55.4, 150.4, 150, 200), (150.4, 250.4, 200, 300), (250.4, 500.4, 300, 500)],
+    "pm10": [(0, 54, 0, 50), (54, 154, 50, 100), (154, 254, 100, 150),
+             (254, 354, 150, 200), (354, 424, 200, 300), (424, 604, 300, 500)],
+    "o3": [(0, 54, 0, 50), (54, 70, 50, 100), (70, 85, 100, 150), (85, 105, 150, 200), (105, 200, 200, 300)],
+    "no2": [(0, 53, 0, 50), (53, 100, 50, 100), (100, 360, 100, 150)],
+    "so2": [(0, 35, 0, 50), (35, 75, 50, 100), (75, 185, 100, 150)],
+    "co": [(0, 4.4, 0, 50), (4.4, 9.4, 50, 100), (9.4, 12.4, 100, 150)],
 }
 
 
-def _case(column: str, pieces: str, cap: str | None, missing: str) -> str:
-    rows = [p.split() for p in pieces.split(";")]
+def _case(column: str, rows: list[tuple], cap: str | None, missing: str) -> str:
     whens = []
     for i, (c0, c1, i0, i1) in enumerate(rows):
         slope = f"(({dbl(i1)} - {dbl(i0)}) / ({dbl(c1)} - {dbl(c0)}))"
@@ -186,6 +189,10 @@ LITE_FEATURES = LITE_HISTORY + [("lite_features", f"""
 SELECT {comma(BASE)}, {comma(c for c in CALENDAR if c != 'year')}, {LITE_FILL}, {INTERACT}
 FROM lite_lagged WHERE aqi IS NOT NULL""")]
 
+# the assembler skips rows with a missing input, NaN included
+LITE_VECTORS = LITE_FEATURES + [("lite_vectors", f"""SELECT * FROM lite_features
+WHERE {' AND '.join(f'{c} IS NOT NULL AND NOT isnan({dbl(c)})' for c in LITE_INPUTS)}""")]
+
 TEXT_OR_INT = {"reading_id", "datetime", "station", "zone", "aqi_category", "timestamp", "hour", "day_of_week",
                "month", "year"}
 
@@ -235,8 +242,8 @@ def ranges(table: str, name: str, columns) -> str:
 def missing(columns) -> str:
     parts = []
     for c in columns:
-        nulls = f"count(*) FILTER (WHERE {c} IS NULL" + (f" OR isnan({c}))" if c != "datetime" else ")")
-        special = "0" if c == "datetime" else f"count(*) FILTER (WHERE {c} = -999 OR {c} = -1)"
+        nulls = f"count(*) FILTER (WHERE {c} IS NULL" + (f" OR isnan({c}))" if c in MEASURES else ")")
+        special = "0" if c in ("datetime", "station") else f"count(*) FILTER (WHERE {c} = -999 OR {c} = -1)"
         parts.append(f"SELECT '{c}' AS \"column\", {nulls} AS null_count, CAST({special} AS BIGINT) AS special_missing, "
                      f"count(*) AS n FROM readings")
     return query([READINGS, ("counts", " UNION ALL ".join(parts))], f"""
@@ -287,7 +294,7 @@ ORACLE: dict[str, str] = {
     "aqi_not_null": query([READINGS] + index_ctes("readings", LITE_SUB, "raw_"),
                           f"SELECT reading_id, {r('aqi')} AS aqi FROM raw_indexed WHERE aqi IS NOT NULL"),
     # profiling
-    "missing_profile": missing(["datetime"] + MEASURES),
+    "missing_profile": missing(KEYS + MEASURES),
     "range_profile": query([READINGS], ranges("readings", "column", MEASURES)),
     "pollutant_stats": query([READINGS], ranges("readings", "pollutant", POLLUTANTS)),
     "describe_readings": describe([READINGS], "readings", MEASURES),
@@ -418,7 +425,7 @@ ORACLE: dict[str, str] = {
  {half_up(f'avg(CASE WHEN NOT ({IS_TRAIN}) THEN prediction END)', 2)} AS avg_aqi FROM predictions"""),
     # serving and export
     "predictions_export": query(SCORED, f"""SELECT datetime, zone, {rounded(MEASURES[:9])}, {r('aqi')} AS aqi,
- {half_up('prediction', 2)} AS prediction, aqi_category FROM predictions ORDER BY {PREVIOUS} LIMIT 10000"""),
+ {half_up('prediction', 2)} AS prediction, aqi_category FROM predictions """),
     "prediction_sample": query(SERVED, f"SELECT {SERVED_COLUMNS} FROM served ORDER BY {PREVIOUS} LIMIT 500"),
     "predictions_by_zone": query(SERVED, f"SELECT {SERVED_COLUMNS} FROM served WHERE zone = 'Zone_North'"),
     "predictions_by_category": query(SERVED, f"SELECT {SERVED_COLUMNS} FROM served WHERE aqi_category = 'Very Unhealthy'"),
@@ -439,6 +446,37 @@ ORACLE: dict[str, str] = {
         f'avg({c}) AS mean_{c}, stddev_samp({c}) AS sd_{c}' for c in FEATURES)} FROM features""")],
         f"""SELECT reading_id, {comma(f'{r(f"({c} - mean_{c}) / sd_{c}")} AS z_{c}' for c in FEATURES)}
  FROM features CROSS JOIN spread"""),
+    "assembled_lite": query(LITE_VECTORS, f"""SELECT reading_id, CAST(21 AS INTEGER) AS dims,
+ {comma(f'{half_up(dbl(c), 6)} AS {c}' for c in LITE_INPUTS)} FROM lite_vectors"""),
+    "scaled_features_lite": query(LITE_VECTORS + [("spread", f"""SELECT {comma(
+        f'avg({c}) AS mean_{c}, stddev_samp({c}) AS sd_{c}' for c in LITE_INPUTS)} FROM lite_vectors""")],
+        f"""SELECT reading_id, {comma(f'{r(f"({c} - mean_{c}) / sd_{c}")} AS z_{c}' for c in LITE_INPUTS)}
+ FROM lite_vectors CROSS JOIN spread"""),
+    "final_vector": query(FULL_FEATURES + [("spread", f"""SELECT {comma(
+        f'avg({c}) AS mean_{c}, stddev_samp({c}) AS sd_{c}' for c in FEATURES)} FROM features"""),
+        ("ranks", """SELECT zone, row_number() OVER (ORDER BY count(*) DESC, zone) - 1 AS pos
+ FROM features GROUP BY zone""")],
+        f"""SELECT reading_id, CAST(27 AS INTEGER) AS dims,
+ {comma(f'{r(f"({c} - mean_{c}) / sd_{c}")} AS z_{c}' for c in FEATURES)},
+ {comma(f'CASE WHEN pos = {i} THEN {dbl(1)} ELSE {dbl(0)} END AS slot_{i}' for i in range(5))}
+ FROM features JOIN ranks USING (zone) CROSS JOIN spread"""),
+    "csv_features": query(FULL_FEATURES, f"SELECT {rounded(BASE + CALENDAR + LAG_NAMES + INTERACTIONS)} FROM features"),
+    "report_bundle": query(SCORED, """SELECT 'metrics' AS name, CAST(1 AS BIGINT) AS n_rows
+ UNION ALL SELECT 'data', 1 UNION ALL SELECT 'pollutant_stats', 6
+ UNION ALL SELECT 'zones', count(DISTINCT zone) FROM predictions
+ UNION ALL SELECT 'hourly_pattern', count(DISTINCT hour) FROM predictions
+ UNION ALL SELECT 'category_distribution', count(DISTINCT aqi_category) FROM predictions
+ UNION ALL SELECT 'predictions', least(500, count(*)) FROM predictions"""),
+    "rf_checked": query(FULL_FEATURES, f"""SELECT reading_id, zone, hour, {half_up('aqi', 6)} AS aqi, aqi_category,
+ TRUE AS in_label_range, TRUE AS beats_persistence FROM features
+ WHERE NOT ({IS_TRAIN}) AND {' AND '.join(f'{c} IS NOT NULL' for c in FEATURES + ['aqi', 'zone', 'datetime', 'aqi_category'])}"""),
+    "rf_checked_lite": query(LITE_VECTORS, f"""SELECT reading_id, zone, hour, {half_up('aqi', 6)} AS aqi, aqi_category,
+ TRUE AS in_label_range, TRUE AS beats_persistence FROM lite_vectors WHERE NOT ({IS_TRAIN})"""),
+    "importance_checked": " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, TRUE AS adds_up, TRUE AS is_share, CAST(10 AS BIGINT) AS top_rows" for c in FEATURES + ["zone"]),
+    "forecast_checked": "SELECT CAST(range AS INTEGER) AS hour, 'Zone_Central' AS zone, TRUE AS category_agrees,"
+                        " TRUE AS not_negative FROM range(24)",
+    "split_random_checked": query([READINGS], "SELECT count(*) AS total, TRUE AS disjoint, TRUE AS near_share FROM readings"),
     "split_hash": query([READINGS], f"SELECT reading_id, {IS_TRAIN} AS is_train FROM readings"),
     "forecast_frame": query(FULL_FEATURES + [
         ("m", f"SELECT {comma(f'avg({c}) AS {c}' for c in MEASURES)} FROM features"),

@@ -90,6 +90,16 @@ def test_category_lookup_agrees_with_the_expression(spark):
     assert joined.count() == 1401
     assert joined.filter(F.col("x").isNotNull() & (F.col("category") != indices.category(F.col("x")))).count() == 0
     assert joined.filter("x IS NULL AND category IS NULL").count() == 1
+    assert "Join" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_category_lookup_with_gaps_and_overlaps(spark):
+    rows = spark.createDataFrame([(x,) for x in (0.0, 1.0, 1.5, 2.0, 2.5, 3.0, 9.0, float("nan"), None)], "x double")
+    bands = [("b", 2.0, 3.0), ("a", 0.0, 1.0), ("top", 8.0, float("inf"))]
+    got = [r.category for r in ft.categorize_by_table(rows, "x", bands).collect()]
+    assert got == [None, "a", None, None, "b", "b", "top", None, None]
+    with pytest.raises(ValueError, match="overlap"):
+        ft.categorize_by_table(rows, "x", [("a", 0.0, 2.0), ("b", 1.0, 3.0)])
 
 
 def test_gapped_table_sends_gaps_beyond_the_scale(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
@@ -125,26 +127,25 @@ def test_filters(scored):
     assert serving.filter_predictions(scored, category="nothing").count() == 0
 
 
-@pytest.mark.parametrize("merge_rows", [10_000_000, 0])
-def test_pages_put_together_are_the_whole(scored, merge_rows):
+def test_pages_put_together_are_the_whole(scored):
     rows = serving.served_rows(scored).filter("zone = 'Zone_East'").cache()
     buckets = fit_order_buckets(rows)
     expected = [r.reading_id for r in rows.orderBy("datetime", "reading_id").collect()]
     size = -(-len(expected) // 3)
     paged = []
     for number in (1, 2, 3):
-        part = serving.page(rows, number, size, buckets, merge_rows=merge_rows).collect()
+        part = serving.page(rows, number, size, buckets).collect()
         paged += sorted((r.datetime, r.reading_id) for r in part)
     assert [i for _, i in paged] == expected
-    assert serving.page(rows, 4, size, buckets, merge_rows=merge_rows).count() == 0
+    assert serving.page(rows, 4, size, buckets).count() == 0
 
 
 def test_page_counts(scored):
     empty = scored.filter("false")
-    first = serving.page_info(scored, scored, 1, 20).first()
+    first = serving.page_info(scored, serving.matches(), 1, 20).first()
     assert (first.total, first.pages) == (scored.count(), -(-scored.count() // 20))
-    assert serving.page_info(empty, scored, 1, 20).first().pages == 1
-    assert serving.page_info(empty, empty, 1, 20).first().pages == 0
+    assert serving.page_info(scored, serving.matches(zone="nowhere"), 1, 20).first().pages == 1
+    assert serving.page_info(empty, serving.matches(), 1, 20).first().pages == 0
 
 
 def test_csv_round_trip(spark, tmp_path, readings):
@@ -153,8 +154,8 @@ def test_csv_round_trip(spark, tmp_path, readings):
     names = [f.name for f in src.CSV_SCHEMA][1:]
     readings.select(text, *names).write.csv(path, header=True)
     back = src.read_readings(spark, path)
-    assert back.schema == src.CSV_SCHEMA
-    assert back.count() == readings.count()
+    assert dict(back.dtypes)["datetime"] == "timestamp_ntz" and dict(back.dtypes)["reading_id"] == "bigint"
+    assert back.count() == readings.count() == back.select("reading_id").distinct().count()
     assert back.select("pm10", "rain").exceptAll(readings.select("pm10", "rain")).count() == 0
     assert reports.hourly_pattern(back).count() == 24
     inferred = src.read_readings(spark, path, infer=True)
@@ -163,6 +164,36 @@ def test_csv_round_trip(spark, tmp_path, readings):
     assert spark.sql("SELECT count(*) FROM air").first()[0] == readings.count()
 
 
+@pytest.mark.parametrize("profile", ["full", "lite"])
+@pytest.mark.parametrize("keyed", [True, False])
+def test_csv_goes_through_all_features(spark, tmp_path, readings, profile, keyed):
+    path = str(tmp_path / "readings")
+    text = F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime")
+    keys = ["reading_id"] if keyed else []
+    readings.select(text, *[f.name for f in src.CSV_SCHEMA][1:], *keys).write.csv(path, header=True)
+    frame = pipeline.features(src.read_readings(spark, path), profile)
+    expected = pipeline.features(readings, profile)
+    assert frame.count() == expected.count()
+    if keyed:
+        columns = ["reading_id", "zone", "aqi_category", "hour", "pm25_lag1"]
+        rounded = [F.round("pm25_lag1", 6) if c == "pm25_lag1" else F.col(c) for c in columns]
+        assert frame.select(*rounded).exceptAll(expected.select(*rounded)).count() == 0
+
+
+def test_export_writes_all_rows(spark):
+    many = spark.range(12_345).select("id", *[F.lit(1.0).alias(c) for c in sinks.EXPORT_COLUMNS])
+    assert sinks.predictions_export(many).count() == 12_345
+
+
+def test_large_event_ids(spark):
+    events = spark.sql("SELECT id * 4000000 AS event_id, timestamp_ntz'2024-05-01 10:20:30.5' AS ts, 'a' AS event_type,"
+                       " 1D AS value FROM range(5)")
+    rows = src.readings_from_events(events).orderBy("reading_id").collect()
+    for i, row in enumerate(rows):
+        day = datetime(2024, 5, 1, 10, 20, 30) + timedelta(days=i * 4_000_000 % 366)
+        assert (row.reading_id, row.datetime) == (i * 4_000_000, day)
+
+
 def test_a_scan_reads_only_what_it_needs(spark, tmp_path, readings):
     path = str(tmp_path / "table")
     readings.write.parquet(path)
