@@ -199,7 +199,9 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle
     width = 2 * ROWS
     members = nodes.select("node", "sign", band).select(
         F.expr(f"xxhash64(band, substring(sign, band * {width} + 1, {width}))").alias("bucket"), "band", "node")
-    hubs = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
+    # aggregates are stored before they are joined back, so that Spark may split a frequent key in the join
+    hubs = stash(members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+                 .filter("low <> high"))
     shared = stash(members.join(hubs, "bucket"))
 
     active = shared.select("node").distinct().join(nodes.select("node", "holder"), "node").select(
@@ -225,7 +227,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle
         labelled = labelled.join(roots, "node", "left")
         group = F.coalesce("root", "node")
     labelled = labelled.withColumn("g", group)
-    first = labelled.filter("g IS NOT NULL").groupBy("g").agg(F.min("id").alias("first"))
+    first = stash(labelled.filter("g IS NOT NULL").groupBy("g").agg(F.min("id").alias("first")))
     out = labelled.join(first, "g", "left")
     component = F.when(F.col("g").isNull(), F.col("id")).otherwise(F.col("first"))
     return out.select(F.col("id").alias(key), "body", "n_shingles", component.alias("component_id"),
@@ -250,7 +252,8 @@ def _links_across(shared: DataFrame, roots: DataFrame | None, nodes: DataFrame,
             "bucket", "band", "node", F.coalesce("root", "node").alias("c"), F.coalesce("low_root", "low").alias("main"))
     mixed = placed.groupBy("bucket").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("n"))
     # in a bucket of two the first round has compared the only pair
-    wanted = mixed.filter("x <> y AND n > 2").select("bucket", F.expr(f"int((n - 1) div {CHUNK}) + 1").alias("chunks"))
+    wanted = stash(mixed.filter("x <> y AND n > 2").select(
+        "bucket", F.expr(f"int((n - 1) div {CHUNK}) + 1").alias("chunks")))
     chunk = F.struct(F.expr("c <> main").alias("out"), F.pmod(F.xxhash64("node"), F.col("chunks")).alias("n"))
     dealt = placed.join(wanted, "bucket").select("bucket", "band", "node", "c", chunk.alias("chunk"))
     full = dealt.join(nodes.select("node", "sign"), "node").join(texts, "node")
