@@ -10,6 +10,7 @@ from envspark.operators import reports
 from envspark.operators.features import ml_frame
 from envspark.plans import analysis, pipeline
 from envspark.profiles import FULL, LITE
+from envspark.sources import sinks
 from envspark.sources.readings import load_readings
 
 from conftest import MEDIUM
@@ -79,3 +80,13 @@ def test_report_bundle(run):
     assert counts["metrics"] == counts["data"] == 1
     assert (counts["feature_importance"], counts["zones"], counts["hourly_pattern"]) == (10, 5, 24)
     assert (counts["predictions"], counts["pollutant_stats"]) == (500, 6)
+
+
+def test_lite_profile_trains_and_reports_in_one_run(spark, tmp_path):
+    data = load_readings(spark, MEDIUM)
+    with analysis.run_all(data, "lite") as bundle:
+        assert len(bundle) == 8 and bundle["predictions"].count() == 500
+        assert bundle["feature_importance"].count() == 10
+        sinks.write_report(bundle, str(tmp_path / "report"))
+    assert spark.read.parquet(str(tmp_path / "report" / "metrics")).first().r2 > 0.5
+    assert spark.read.parquet(str(tmp_path / "report" / "zones")).count() == 5
