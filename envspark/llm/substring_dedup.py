@@ -225,12 +225,13 @@ def _open_and_copies(rows: DataFrame) -> DataFrame:
     kind = F.expr(f"(place >> {_TAG_BITS}) & 3")
     here = F.struct(F.col("id"), F.expr("place >> 32"))
     block, anchor = Window.partitionBy("key", "other"), Window.partitionBy("key")
+    # by anchor first: rows dealt by anchor serve the blocks too, the other way round they would be dealt twice
     seen = (rows.withColumn("kind", kind)
-            .withColumn("lead", F.min(F.when(F.col("kind") == ONE, here)).over(block))
             .withColumn("n", F.sum(F.expr(f"int(kind IN ({ONE}, {MANY}))")).over(anchor))
             .withColumn("many", F.max(F.col("kind") == MANY).over(anchor))
             .withColumn("low", F.min(F.when(F.col("kind") == ONE, F.col("other"))).over(anchor))
-            .withColumn("high", F.max(F.when(F.col("kind") == ONE, F.col("other"))).over(anchor)))
+            .withColumn("high", F.max(F.when(F.col("kind") == ONE, F.col("other"))).over(anchor))
+            .withColumn("lead", F.min(F.when(F.col("kind") == ONE, here)).over(block)))
     later = here > F.col("lead")
     found = (F.when(F.col("kind").isin(COPY, CHECK), F.col("kind"))
              .when((F.col("kind") == MANY) | (F.col("n") == 1), F.lit(None))
@@ -260,7 +261,8 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         F.expr(f"xxhash64(`{text}`) & {(1 << _TAG_BITS) - 1}").alias("tag"), body.alias("text"))
     blocks = texts.mapInArrow(_index, _ROWS)
     # shuffled as single rows: lists of one or two would be larger than the rows
-    places = _open_and_copies(blocks).repartition("id", "tag").groupBy("id", "tag").agg(F.collect_list(F.struct("place", "count")).alias("at"))
+    places = _open_and_copies(blocks).repartition("id", "tag").groupBy("id", "tag").agg(
+        F.collect_list(F.struct("place", "count")).alias("at"))
     looked = texts.join(places, ["id", "tag"]).select("id", "tag", "text", "at.place", "at.count")
     windows = looked.mapInArrow(_boundaries, _ROWS)
     spans = _copied_windows(windows).repartition("id", "tag").groupBy("id", "tag").agg(
