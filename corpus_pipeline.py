@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envspark.llm import decontaminate, language, near_dedup, packing, pseudonyms
-from envspark.llm.common import stash
+from envspark.llm.common import ship, stash
 from envspark.llm.queries import KEY, vocabulary
 
-# below this no language's own regression claims the text
-LEAST_SCORE = 0.5
+# below this every language's own regression is clearly against the text; mixed texts score more
+LEAST_SCORE = 0.25
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters and those that no language claims go."""
+    ship(spark)
     found, name, score = language.identified(docs, language.fit(docs))
     known = found.filter((F.col(name) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE))
     return known.select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -27,11 +28,13 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays (five-word shingles, similarity 0.8)."""
+    ship(spark)
     return near_dedup.without_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
+    ship(spark)
     return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -45,6 +48,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences of the rest."""
+    ship(spark)
     return packing.packed(docs, vocabulary("byte_bpe_50k.json"))
 
 

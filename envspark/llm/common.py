@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,20 @@ from pyspark.sql import types as T
 STEP_BYTES = 2 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send the library to the executors, which may not have it installed; once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).parents[1]
+        name = str(Path(tempfile.mkdtemp(prefix="ship-"), package.name))
+        context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: `spark.checkpoint.dir`.
 

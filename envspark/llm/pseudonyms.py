@@ -242,8 +242,10 @@ def pseudonymized(docs: DataFrame, key: str, text: str = "text") -> tuple[DataFr
     body = F.col(f"`{text}`")
     found, made, count = (fresh(docs, name) for name in ("_found", "_made", "n_replaced"))
     none = F.array().cast("array<string>")
-    searched = docs.withColumn(found, F.when(body.rlike(HINT), F.regexp_extract_all(body, F.lit(f"({ANY})"), F.lit(1))).otherwise(none))
-    replaced = searched.withColumn(made, F.when(F.size(found) > 0, F.transform(found, lambda v: pseudonym(v, key))).otherwise(none))
+    candidates = F.regexp_extract_all(body, F.lit(f"({ANY})"), F.lit(1))
+    searched = docs.withColumn(found, F.when(body.rlike(HINT), candidates).otherwise(none))
+    pseudonyms = F.transform(found, lambda v: pseudonym(v, key))
+    replaced = searched.withColumn(made, F.when(F.size(found) > 0, pseudonyms).otherwise(none))
 
     def woven(gaps: Column) -> Column:
         return F.concat(F.get(gaps, 0), F.array_join(F.transform(

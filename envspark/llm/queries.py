@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from envspark.llm import (decontaminate, fingerprints, language, near_dedup, packing, pseudonyms, sharding,
                           substring_dedup, token_counts, url_filter)
+from envspark.llm.common import ship
 
 
 def vocabulary(name: str) -> str:
@@ -19,7 +20,7 @@ def vocabulary(name: str) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_substring_dedup(spark, sf_dir):

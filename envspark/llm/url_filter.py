@@ -95,7 +95,10 @@ def split(url: str) -> tuple[str, str]:
 
 def fit(labelled: Sequence[tuple[str, int]] = LABELLED, steps: int = 600, rate: float = 4.0,
         decay: float = 3e-4) -> np.ndarray:
-    """Weights by place, without a constant: what is unknown scores one half. Gradient steps on the mean loss with both classes weighing the same."""
+    """Weights by place, without a constant: what is unknown scores one half.
+
+    Gradient steps on the mean loss, with both classes weighing the same.
+    """
     rows = [places(*split(url)) for url, _ in labelled]
     used = sorted(set().union(*rows))
     column = {place: i for i, place in enumerate(used)}
