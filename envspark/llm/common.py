@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # bytes of text that one vectorized step handles; bounds the temporaries of a Python worker
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 _shipped: set[str] = set()

@@ -32,7 +32,7 @@ from envspark.llm.common import texts_of
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
 # parts whose results a worker keeps
-KNOWN_PARTS = 300_000
+KNOWN_PARTS = 200_000
 
 _PARTS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _CROSSING = re.compile(f"[^{BLANK}]{BLANK}")
