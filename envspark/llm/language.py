@@ -126,12 +126,15 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     """Fit on the bounded sample; None if no document can be learned from."""
     body, id_ = F.col(f"`{text}`"), F.col(f"`{key}`")
     usable = docs.filter(F.col(f"`{label}`").isNotNull() & id_.isNotNull() & ~held_out(id_) & has_letters(body))
-    spread = F.xxhash64(id_.cast("string"))
-    # Spark keeps the first rows of each language before it shuffles
+    spread = F.shiftrightunsigned(F.xxhash64(id_.cast("string")), 11) / float(1 << 53)
+    named = usable.select(F.col(f"`{label}`").cast("string").alias("lang"), spread.alias("spread"),
+                          F.xxhash64(body).alias("body"), body.alias("text"))
+    # the rows of least hash lie below a small share of its range; only these are shuffled and ranked
+    share = named.groupBy("lang").agg((8.0 * per_language / F.count("*")).alias("share"))
+    near = named.join(F.broadcast(share), "lang").filter("spread < share")  # one row per language
     first = Window.partitionBy("lang").orderBy("spread", "body")
-    chosen = (usable.select(F.col(f"`{label}`").cast("string").alias("lang"), spread.alias("spread"),
-                            F.xxhash64(body).alias("body"), body.alias("text"))
-              .withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_language).select("lang", "text"))
+    chosen = (near.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_language)
+              .select("lang", "text"))
     rows = sorted((r.lang, bytes(r.bits)) for r in chosen.mapInArrow(_packed, "lang string, bits binary").collect())
     if not rows:
         return None
