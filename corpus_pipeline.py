@@ -14,16 +14,11 @@ from envspark.llm import decontaminate, language, near_dedup, packing, pseudonym
 from envspark.llm.common import ship, stash
 from envspark.llm.queries import KEY, vocabulary
 
-# below this every language's own regression is clearly against the text; mixed texts score more
-LEAST_SCORE = 0.25
-
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters and those that no language claims go."""
+    """Documents without letters and those that no learned language claims go; mixtures of learned languages stay."""
     ship(spark)
-    found, name, score = language.identified(docs, language.fit(docs))
-    known = found.filter((F.col(name) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE))
-    return known.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return language.claimed(docs, language.fit(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,12 @@ by the landmarks and the result by the folded weights.
 A long text is judged in equal pieces of at most `PIECE` bytes, whose values are averaged: presence says
 nothing of how much of a text is in a language, its pieces do.
 
+The best margin does not say whether a text is in any of the languages: with the h of a text, the same
+regression for the constant 1, its margins add up to (2 - languages) * h, so that foreign text with a small h scores
+about 0.5. A piece is claimed if its h is at least `LEAST_FIT` and either its two best margins are
+`LEAST_GAP` apart or the landmarks span `LEAST_NORM` of its squared norm, as they do for
+a mixture of their languages. A text is claimed if at least half of its pieces with letters are.
+
 Learned from a bounded sample, one piece from the middle of each document: per language the `PER_LANGUAGE` documents of least id hash among
 those with a label whose crc32(id as text) mod `FOLDS` is not 0; `LANDMARKS` of them are landmarks.
 
@@ -38,6 +44,8 @@ WIDTH = sum(SIZES.values())
 PER_LANGUAGE, LANDMARKS, RIDGE = 400, 192, 0.05
 FOLDS = 5
 PIECE = 2048
+# set on rows of the learned folds, judged by fits without them, against unlearned languages and random letters
+LEAST_FIT, LEAST_GAP, LEAST_NORM = 0.5, 0.5, 0.5
 # what a row of the presence matrix counts as, besides its text
 ROW_BYTES = 4096
 
@@ -78,16 +86,30 @@ def scaled(marks: np.ndarray) -> np.ndarray:
 class Model:
     languages: tuple[str, ...]
     landmarks: np.ndarray  # packed presence bits
-    weights: np.ndarray  # landmarks by languages
+    weights: np.ndarray  # landmarks by languages and the constant 1
+    root: np.ndarray  # landmarks by the directions that they span
 
-    def margins(self, texts: Sequence[bytes], landmarks: np.ndarray) -> np.ndarray:
-        """One row per text and column per language, the mean over the text's pieces."""
+    def judged(self, texts: Sequence[bytes], landmarks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Margins, one row per text and column per language, the mean over the text's pieces; and which texts are claimed."""
         parts = [pieces(t) for t in texts]
-        rows, every = [], [p for ps in parts for p in ps]
+        rows, claims, every = [], [], [p for ps in parts for p in ps]
         for low, high in slices([len(p) + ROW_BYTES for p in every]):
-            rows.append(scaled(presence(every[low:high])) @ landmarks.T @ self.weights)
+            marks = presence(every[low:high])
+            kernel = scaled(marks) @ landmarks.T
+            fitted = kernel @ self.weights
+            rows.append(fitted[:, :-1])
+            claims.append(np.stack([marks[:, :SIZES[1]].any(axis=1), self.claims(kernel, fitted)], axis=1))
         starts = np.cumsum([0, *[len(p) for p in parts[:-1]]])
-        return np.add.reduceat(np.concatenate(rows), starts) / np.array([len(p) for p in parts])[:, None]
+        lettered, claimed = np.add.reduceat(np.concatenate(claims).astype(np.int64), starts).T
+        means = np.add.reduceat(np.concatenate(rows), starts) / np.array([len(p) for p in parts])[:, None]
+        return means, (claimed > 0) & (2 * claimed >= lettered)
+
+    def claims(self, kernel: np.ndarray, fitted: np.ndarray) -> np.ndarray:
+        """Which pieces are in a language or in several of them."""
+        ordered = np.sort(fitted[:, :-1], axis=1)
+        # one language alone has no other to be apart from
+        apart = ordered[:, -1] - ordered[:, -2] >= LEAST_GAP if len(self.languages) > 1 else False
+        return (fitted[:, -1] >= LEAST_FIT) & (apart | (((kernel @ self.root) ** 2).sum(axis=1) >= LEAST_NORM))
 
     def unpacked(self) -> np.ndarray:
         return scaled(np.unpackbits(self.landmarks, axis=1, count=WIDTH).astype(bool))
@@ -144,22 +166,33 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     # landmarks in turn from each language
     turn = np.array([np.count_nonzero(own[:i] == own[i]) for i in range(len(own))])
     marks = packed[np.lexsort((own, turn))[:landmarks]]
-    model = Model(languages, marks, np.zeros((len(marks), len(languages)), dtype=np.float32))
-    base = model.unpacked().astype(np.float64)
+    base = scaled(np.unpackbits(marks, axis=1, count=WIDTH).astype(bool)).astype(np.float64)
     values, vectors = np.linalg.eigh(base @ base.T)
     keep = values > 1e-8 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
     points = scaled(np.unpackbits(packed, axis=1, count=WIDTH).astype(bool)).astype(np.float64) @ base.T @ root
     share = (1.0 / np.bincount(own))[own][:, None]  # each language weighs the same
-    target = np.where(own[:, None] == np.arange(len(languages)), 1.0, -1.0)
+    target = np.column_stack([np.where(own[:, None] == np.arange(len(languages)), 1.0, -1.0), np.ones(len(own))])
     solved = np.linalg.solve(points.T @ (points * share) + RIDGE / len(rows) * np.eye(points.shape[1]),
                              points.T @ (target * share))
-    return Model(languages, marks, (root @ solved).astype(np.float32))
+    return Model(languages, marks, (root @ solved).astype(np.float32), root.astype(np.float32))
 
 
 def identified(docs: DataFrame, model: Model | None, text: str = "text") -> tuple[DataFrame, str, str]:
     """Add the predicted language and its score; returns the frame and the names of both columns."""
-    names = fresh(docs, "lang_pred"), fresh(docs, "score")
+    found, name, score, claim = judged(docs, model, text)
+    return found.drop(claim), name, score
+
+
+def claimed(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """The documents that are in a learned language or in several of them."""
+    found, _, _, claim = judged(docs, model, text)
+    return found.filter(F.col(claim)).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def judged(docs: DataFrame, model: Model | None, text: str = "text") -> tuple[DataFrame, str, str, str]:
+    """Add the predicted language, its score and whether the text is claimed; returns the frame and the names of the columns."""
+    names = fresh(docs, "lang_pred"), fresh(docs, "score"), fresh(docs, "claimed")
     letters = fresh(docs, "_letters")
     marked = docs.withColumn(letters, has_letters(F.col(f"`{text}`")))
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -170,18 +203,20 @@ def identified(docs: DataFrame, model: Model | None, text: str = "text") -> tupl
         landmarks = known.unpacked() if known else None
         for batch in batches:
             some = batch.column(batch.num_columns - 1).to_pylist()
-            found, score = [UNKNOWN] * len(some), [0.0] * len(some)
+            found, score, claim = [UNKNOWN] * len(some), [0.0] * len(some), [False] * len(some)
             if known:
                 texts = [t if s else b"" for t, s in zip(texts_of(batch.column(at)), some)]
                 for low, high in slices([len(t) + ROW_BYTES for t in texts]):
-                    margins = known.margins(texts[low:high], landmarks)
+                    margins, claims = known.judged(texts[low:high], landmarks)
                     best = margins.argmax(axis=1)
                     top = np.clip((margins.max(axis=1) + 1) / 2, 0, 1)
                     for i in range(low, high):
                         if some[i]:
                             found[i], score[i] = known.languages[best[i - low]], float(top[i - low])
-            columns = [*batch.columns, pa.array(found, pa.string()), pa.array(score, pa.float64())]
+                            claim[i] = bool(claims[i - low])
+            columns = [*batch.columns, pa.array(found, pa.string()), pa.array(score, pa.float64()), pa.array(claim, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(len(columns))])
 
-    added = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
+    added = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType()),
+             T.StructField(names[2], T.BooleanType())]
     return mapped(marked, run, added).drop(letters), *names

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from cases import frame, odd_rows
 from conftest import SMALL
@@ -47,3 +49,27 @@ def test_language_stage_rejects_texts_without_letters(spark, documents):
     kept = corpus_pipeline.keep_known_languages(spark, docs, SMALL)
     assert kept.filter("doc_id >= 1000000").count() == 0 and kept.count() >= 0.99 * documents.count()
     assert language.UNKNOWN == "und"
+
+
+FOREIGN = {
+    "ja": "日本語の文章はこのように書かれています。今日は天気がとても良いので、公園を散歩しました。明日は雨が降るそうです。",
+    "ru": "Сегодня утром мы пошли в парк и долго гуляли вдоль реки. Погода была хорошая, и дети играли на траве до вечера.",
+    "pl": "Dzisiaj rano poszliśmy do parku i długo spacerowaliśmy wzdłuż rzeki. Pogoda była dobra, a dzieci bawiły się na trawie.",
+    "fi": "Tänä aamuna menimme puistoon ja kävelimme pitkään joen rantaa. Sää oli hyvä ja lapset leikkivät nurmikolla iltaan asti.",
+}
+
+
+def test_language_stage_drops_what_no_language_claims(spark, documents):
+    draw = random.Random(3)
+    gibberish = [" ".join("".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randint(2, 9))) for _ in range(n))
+                 for n in (20, 200, 1500)]
+    prose = {r.lang: r.text for r in documents.orderBy("n_chars").collect() if 1000 < r.n_chars < 3000}
+    first, second = [prose[lang][:600] for lang in ("en", "de")]
+    foreign = [*FOREIGN.values(), *[" ".join([t] * 40) for t in FOREIGN.values()], *gibberish, " ".join([first, *[FOREIGN["ja"]] * 40])]
+    known = [first, second, f"{first} {second}", " ".join([first, second] * 5), first[:90], f"{first} {FOREIGN['ja']}"]
+    # null labels: nothing is learned from them
+    planted = [(10 ** 6 + i, t, None, None, len(t)) for i, t in enumerate(foreign + known)]
+    kept = corpus_pipeline.keep_known_languages(spark, documents.unionByName(spark.createDataFrame(planted, documents.schema)), SMALL)
+    found = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert {i for i in found if i >= 10 ** 6} == {10 ** 6 + len(foreign) + i for i in range(len(known))}
+    assert len({i for i in found if i < 10 ** 6}) >= 0.99 * documents.count()
