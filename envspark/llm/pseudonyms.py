@@ -1,6 +1,6 @@
 """Format-preserving pseudonyms for personal data, in SQL functions only.
 
-Candidates are found by one pattern and validated: card numbers by their check digit,
+Candidates are found by one pattern, account and card numbers by their own in what is left, and validated: card numbers by their check digit,
 account numbers (IBAN) by their remainder, dates by the calendar, addresses of hosts by
 their octets, social-security numbers by their unused ranges, phone numbers by their
 length. A valid value is permuted within its format by a keyed Feistel network with SHA-256
@@ -9,6 +9,9 @@ pseudonym, and equal values get equal ones in every document. Mail addresses and
 secrets have no such format: a mail address gets a keyed hash as name at a reserved
 domain, and the hexadecimal digits of a secret are replaced by as many of a keyed hash.
 
+Other numbers and words may stand beside an account or card number with one separator between. Each start and
+end at a separator is tried; of two valid values that overlap the longer one counts, of equal ones the first.
+
 Dates are permuted over the 400 years from 1800 to 2199, a full cycle of the calendar; others and
 invalid values stay as they are, as do texts without any candidate.
 
@@ -40,7 +43,9 @@ PATTERNS = {
     "host": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: kinds whose candidates may hold a shorter valid value; a candidate here is the longest from its start. Least length, and what goes on in it
+RUNS = {"iban": (12, "[0-9A-Za-z]"), "card": (13, "[0-9]")}
+ANY = "|".join(f"(?:{p})" for kind, p in PATTERNS.items() if kind not in RUNS)
 # every candidate has one of these
 HINT = "[0-9@]"
 
@@ -115,6 +120,10 @@ def luhn_sum(digits: Column, last_doubled: bool) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), step)
 
 
+def _card_valid(value: Column) -> Column:
+    return let(only_digits(value), lambda d: (F.length(d) >= 13) & (luhn_sum(d, False) % 10 == 0))
+
+
 def _card(value: Column, key: str) -> Column:
     def of(digits: Column) -> Column:
         body = permuted_digits(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card")
@@ -132,6 +141,14 @@ def _remainder(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), step)
 
 
+def _iban_valid(value: Column) -> Column:
+    def of(plain: Column) -> Column:
+        return (F.length(plain) >= 12) & (_remainder(F.concat(F.substring(plain, F.lit(5), F.length(plain)),
+                                                             F.substring(plain, 1, 4))) == 1)
+
+    return let(F.regexp_replace(value, " ", ""), of)
+
+
 def _iban(value: Column, key: str) -> Column:
     def of(plain: Column) -> Column:
         country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
@@ -229,29 +246,100 @@ MAKERS: dict[str, Callable[[Column, str], Column]] = {
 }
 
 
+VALID: dict[str, Callable[[Column], Column]] = {"iban": _iban_valid, "card": _card_valid}
+
+
 def pseudonym(value: Column, key: str) -> Column:
     """What a candidate becomes; an invalid one stays."""
     out = value
-    for kind in reversed(PATTERNS):
+    for kind in reversed([k for k in PATTERNS if k not in RUNS]):
         out = F.when(value.rlike(f"^(?:{PATTERNS[kind]})$"), MAKERS[kind](value, key)).otherwise(out)
     return out
 
 
+def valid_length(run: Column, kind: str) -> Column:
+    """Length of the longest valid value at the start of a candidate that ends where nothing goes on; 0 without one."""
+    least, inner = RUNS[kind]
+
+    def ends(n: Column) -> Column:
+        last, following = F.substring(run, n, F.lit(1)), F.substring(run, n + 1, F.lit(1))
+        return last.rlike(inner) & ~following.rlike(inner) & VALID[kind](F.substring(run, F.lit(1), n))
+
+    lengths = F.filter(F.sequence(F.length(run), F.lit(least), F.lit(-1)), ends)
+    return F.when(F.length(run) >= least, F.coalesce(F.get(lengths, 0), F.lit(0))).otherwise(0)
+
+
+def segments(text: Column, kind: str, key: str) -> Column:
+    """The text in segments: an array of structs of text and whether it is a pseudonym of this kind."""
+    pattern = PATTERNS[kind]
+    behind, rest = pattern[:pattern.index(")") + 1], pattern[pattern.index(")") + 1:]
+    starts = f"{behind}(?={rest})"
+    segment = lambda t, done: F.struct(t.alias("t"), F.lit(done).alias("done"))
+    none = F.array().cast("array<struct<t:string,done:boolean>>")
+    # a blank before keeps a match at the beginning from being left out by split
+    parts = F.split(F.concat(F.lit(" "), text), starts, -1)
+    runs = F.regexp_extract_all(text, F.lit(f"{behind}(?=({rest}))"), F.lit(1))
+
+    def found(part: Column, run: Column) -> Column:
+        size = valid_length(run, kind)
+        return F.struct(part.alias("part"), F.length(part).alias("length"), size.alias("size"),
+                        F.when(size > 0, F.substring(run, F.lit(1), size)).alias("value"))
+
+    def scan(cases: Column) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            c = F.get(cases, i)
+
+            # a longer valid value that starts within this one goes first
+            def look(t: Column, d: Column) -> Column:
+                begins = t["at"]
+                return F.struct((begins + d["length"]).alias("at"),
+                                (t["longer"] | ((begins < c["size"]) & (d["size"] > c["size"]))).alias("longer"))
+
+            # starts are two characters apart at least
+            nearby = F.slice(cases, i + 2, F.greatest(F.lit(1), F.ceil(c["size"] / 2).cast("int")))
+            longer = F.aggregate(nearby, F.struct(c["length"].alias("at"), F.lit(False).alias("longer")), look)["longer"]
+            plain = F.struct(F.concat(s["out"], F.array(segment(F.substring(c["part"], s["skip"] + 1, c["length"]), False))).alias("out"),
+                             F.greatest(F.lit(0), s["skip"] - c["length"]).alias("skip"))
+            after = F.substring(c["part"], c["size"] + 1, c["length"])
+            taken = F.struct(F.concat(s["out"], F.array(segment(MAKERS[kind](c["value"], key), True), segment(after, False))).alias("out"),
+                             F.greatest(F.lit(0), c["size"] - c["length"]).alias("skip"))
+            return F.when((s["skip"] > 0) | (c["size"] == 0), plain).when(longer, plain).otherwise(taken)
+
+        state = F.struct(none.alias("out"), F.lit(0).alias("skip"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(cases) - 1), state, step)["out"]
+
+    def cut(p: Column) -> Column:
+        first = F.array(segment(F.substring(F.get(p, 0), F.lit(2), F.length(F.get(p, 0))), False))
+        return F.concat(first, let(F.zip_with(F.slice(p, F.lit(2), F.size(p) - 1), runs, found), scan))
+
+    whole = F.array(segment(text, False))
+    return F.when(text.rlike(starts), let(parts, cut)).otherwise(whole)
+
+
+def replaced_runs(gap: Column, key: str) -> Column:
+    """A text between other candidates as segments, account and card numbers replaced."""
+    def cards(s: Column) -> Column:
+        return F.when(s["done"], F.array(s)).otherwise(segments(s["t"], "card", key))
+
+    return F.flatten(F.transform(segments(gap, "iban", key), cards))
+
+
 def pseudonymized(docs: DataFrame, key: str, text: str = "text") -> tuple[DataFrame, str]:
     """The documents with their text replaced, and the name of an added column: how many values were replaced."""
     body = F.col(f"`{text}`")
-    found, made, count = (fresh(docs, name) for name in ("_found", "_made", "n_replaced"))
+    found, made, gaps, count = (fresh(docs, name) for name in ("_found", "_made", "_gaps", "n_replaced"))
     none = F.array().cast("array<string>")
+    hinted = body.rlike(HINT)
     candidates = F.regexp_extract_all(body, F.lit(f"({ANY})"), F.lit(1))
-    searched = docs.withColumn(found, F.when(body.rlike(HINT), candidates).otherwise(none))
-    pseudonyms = F.transform(found, lambda v: pseudonym(v, key))
-    replaced = searched.withColumn(made, F.when(F.size(found) > 0, pseudonyms).otherwise(none))
-
-    def woven(gaps: Column) -> Column:
-        return F.concat(F.get(gaps, 0), F.array_join(F.transform(
-            F.col(made), lambda v, i: F.concat(v, F.get(gaps, i + 1))), ""))
-
-    changed = F.when(F.size(found) > 0, let(F.split(body, ANY, -1), woven)).otherwise(body)
+    searched = docs.withColumn(found, F.when(hinted, candidates).otherwise(none))
+    between = F.transform(F.split(body, ANY, -1), lambda g: replaced_runs(g, key))
+    replaced = (searched.withColumn(made, F.when(F.size(found) > 0, F.transform(found, lambda v: pseudonym(v, key))).otherwise(none))
+                .withColumn(gaps, F.when(hinted, between)))
+    joined = lambda g: F.array_join(F.transform(g, lambda s: s["t"]), "")
+    woven = F.concat(joined(F.get(gaps, 0)), F.array_join(F.transform(
+        F.col(made), lambda v, i: F.concat(v, joined(F.get(gaps, i + 1)))), ""))
+    changed = F.when(hinted, woven).otherwise(body)
     number = F.size(F.filter(F.zip_with(found, made, lambda a, b: a != b), lambda x: x))
-    out = replaced.withColumn(count, F.coalesce(number, F.lit(0)).cast("long")).withColumn(text, changed)
-    return out.drop(found, made), count
+    runs = F.aggregate(gaps, F.lit(0), lambda n, g: n + F.size(F.filter(g, lambda s: s["done"])))
+    out = replaced.withColumn(count, (F.coalesce(number, F.lit(0)) + F.coalesce(runs, F.lit(0))).cast("long"))
+    return out.withColumn(text, changed).drop(found, made, gaps), count

@@ -48,6 +48,21 @@ def luhn(digits):
     return total % 10 == 0
 
 
+def test_numbers_beside_numbers_and_words_are_found(spark):
+    spaced, plain, account = "4111 1111 1111 1111", "4539578763621486", "AT61 1904 3002 3457 3201"
+    cases = [("room 12 ", spaced, ""), ("", "4111111111111111", " 123"), ("", spaced, " 12/25"), ("2024 ", spaced, ""),
+             ("1 2 3 ", plain, " 4 5 6 7"), ("", "4111-1111-1111-1111", "-12"), ("", account, " IBAN"), ("", account, " NR 12"),
+             ("NR12 ", account, " ABCD"), ("IBAN ", account, ""), ("", account, "")]
+    alone = replaced(spark, [value for _, value, _ in cases])
+    got = replaced(spark, [f"{a}{v}{b}" for a, v, b in cases])
+    for i, (before, value, after) in enumerate(cases):
+        assert alone[i][0] != value and got[i] == (f"{before}{alone[i][0]}{after}", 1)
+    both = replaced(spark, [f"{spaced} {plain} {account} {spaced} 02/28/2000", "9 " * 3000 + plain, "1234 5678 " * 40])
+    text, count = both[0]
+    assert count == 5 and not any(v in text for v in (spaced, plain, account, "02/28/2000"))
+    assert plain not in both[1][0] and both[1][1] >= 1 and len(both[1][0]) == 6016 and len(both[2][0]) == 400
+
+
 def test_pseudonyms_stay_valid_and_apart(spark):
     cards = [n for n in (f"4{i:015d}" for i in range(4000)) if luhn(n)]
     days = [f"20{y:02d}-{m:02d}-{d:02d}" for y in range(20) for m in range(1, 13) for d in range(1, 29)]
