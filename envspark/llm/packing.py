@@ -10,92 +10,39 @@
    sequences at this offset". It is expanded into slots on the executors, and a piece takes
    the slot of its rank within its length by a join.
 
-Tokenizing: for byte-level vocabularies words repeat, so a worker keeps the ids of the
-words that it has seen (a bounded number) and asks the tokenizer for new ones only. Texts
-with characters or special tokens that this shortcut does not cover go to the tokenizer whole.
-
 Cases: a null text counts as empty and gives one piece, the end id; repeated rows are
-packed each; an empty table gives no rows; other columns are ignored.
+packed each, and rows of equal length are ranked by key and start, ties among them in any order;
+a very long text needs memory for its own ids; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import json
-import os
-import re
+import struct
 import zlib
 from collections.abc import Iterator, Mapping
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from envspark.llm.byte_bpe import encoder
 from envspark.llm.common import partitions, ranked, stash, texts_of
 
 SEQUENCE = 2048
 END_ID = 0
-# words whose ids a worker keeps
-KNOWN_WORDS = 300_000
 # slots that one row of the plan becomes at once
 CHUNK = 1 << 16
 
-_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-_OTHER = re.compile(f"[^\t\n\r -~{_LETTER}]")
-#: the byte-level split for texts of the characters above
-_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\s{_LETTER}0-9]+|\s+(?!\S)|\s+")
-
-
-class Encoder:
-    """Token ids of texts as little-endian unsigned 32-bit numbers."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as file:
-            parts = json.load(file)
-        before = parts.get("pre_tokenizer") or {}
-        self.by_word = (parts.get("normalizer") is None and before.get("type") == "ByteLevel"
-                        and before.get("use_regex", True) and not before.get("add_prefix_space"))
-        self.special = [t["content"] for t in parts.get("added_tokens", [])]
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [b"".join(i.to_bytes(4, "little") for i in e.ids) for e in found]
-
-    def encode(self, text: str) -> bytes:
-        if not self.by_word or _OTHER.search(text) or any(s in text for s in self.special):
-            return self._encode([text])[0]
-        words = _SPLIT.findall(text)
-        known = self.known
-        new = list(set(words).difference(known))
-        if new:
-            if len(known) + len(new) > KNOWN_WORDS:
-                known.clear()
-                new = list(set(words))
-            known.update(zip(new, self._encode(new)))
-        return b"".join(map(known.__getitem__, words))
-
-
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary."""
-    return Encoder(path)
-
 
 def _cut(path: str, length: int, end_id: int):
-    end = end_id.to_bytes(4, "little")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in batches:
             source, piece, start, size, crc = [], [], [], [], []
             for row, text in enumerate(texts_of(batch.column(1))):
-                ids = coder.encode(text.decode()) + end
-                total = len(ids) // 4
+                found = coder.ids(text.decode())
+                total = len(found) + 1
+                ids = memoryview(struct.pack(f"<{total}I", *found, end_id))
                 low, number = 0, 0
                 high = total % length or min(length, total)
                 while low < total:

@@ -122,3 +122,30 @@ def test_sharding_of_odd_rows_and_hot_groups(spark):
     few = [row(1, "a"), row(2, None)]
     check_shards(sharding.sharded(frame(spark, few)).collect(), few)
     assert sharding.sharded(frame(spark, [])).collect() == []
+
+
+def test_fast_ids_equal_those_of_tokenizers(spark):
+    """Every text of the test table, and texts that end pieces, runs without blanks and special tokens."""
+    import pyarrow.parquet as pq
+    from conftest import SMALL
+    from tokenizers import Tokenizer
+
+    from envspark.llm import byte_bpe
+
+    path = vocabulary("byte_bpe_50k.json")
+    draw = random.Random(1)
+    alphabet = "abc \n\t.,'1é²ªµ×日😀  \x1c\x85"
+    texts = [t or "" for t in pq.read_table(f"{SMALL}/documents.parquet")["text"].to_pylist()]
+    texts += ["".join(draw.choice(alphabet) for _ in range(draw.randrange(60))) for _ in range(2000)]
+    texts += ["a" * 50_000, " " * 50_000, words(1, 2000), "it's we'LL 'd <|endoftext|> x", "don't  \n\n stop "]
+    for plain in (False, True):
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = plain
+        wanted = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        coder = byte_bpe.Encoder(path, plain)
+        assert coder.fast is not None
+        assert [coder.ids(t) for t in texts] == wanted
+        for text, ids in zip(texts, wanted):
+            assert [i for p in byte_bpe.pieces_of(text, 20) for i in coder.ids(p)] == ids or "<|endoftext|>" in text
+            assert "".join(byte_bpe.pieces_of(text, 20)) == text
+            assert b"".join(map(coder.bytes_of.__getitem__, ids)) == text.encode()
