@@ -86,4 +86,76 @@ SELECT d.doc_id, coalesce(members.n, 0) AS n_shingles, coalesce(root, d.doc_id)
 FROM d LEFT JOIN members USING (doc_id) LEFT JOIN roots USING (rep)
 """
 
-ORACLE = {"op1_substring_dedup": OP1, "op7_decontamination": OP7, "op9_minhash_dedup": OP9}
+OP11 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, text, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+s AS (
+  SELECT source, source_size, CASE (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3
+    WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)),
+whole AS (SELECT 1.5::DOUBLE * sum(source_size) AS wanted, sum(weight) AS weight FROM s),
+rounds(i, level) AS (
+  SELECT 0, wanted / weight FROM whole
+  UNION ALL
+  SELECT i + 1, (SELECT (max(wanted) - coalesce(sum(CASE WHEN level * s.weight >= 2 * source_size THEN 2.0::DOUBLE * source_size END), 0))
+                   / sum(CASE WHEN level * s.weight < 2 * source_size THEN s.weight END) FROM s, whole)
+  FROM rounds WHERE i < (SELECT count(*) FROM s)),
+levels AS (SELECT max(level) AS level FROM rounds),
+targets AS (
+  SELECT source, source_size, least(level * weight, 2.0::DOUBLE * source_size) AS target FROM s, levels),
+chances AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+         CAST(('0x' || substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(md5(text), 'null')), 1, 13))
+              AS UBIGINT) / 4503599627370496.0::DOUBLE AS chance
+  FROM d JOIN targets t ON t.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, size, source_size, target,
+       size * (CAST(floor(rate) AS BIGINT) + CASE WHEN chance < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
+FROM chances
+"""
+
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+masked AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         (CASE WHEN len(w) < 100 THEN 1 ELSE 0 END)
+         + (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END)
+         + (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END)
+         + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+         + (CASE WHEN first < d.doc_id THEN 16 ELSE 0 END) AS mask
+  FROM d JOIN firsts USING (t) LEFT JOIN l USING (doc_id)),
+cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM masked GROUP BY part, mask),
+f(name, own) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.name || b.name || c.name || x.name || e.name AS filter_order, [a.own, b.own, c.own, x.own, e.own] AS owns
+  FROM f a JOIN f b ON b.own <> a.own JOIN f c ON c.own NOT IN (a.own, b.own)
+    JOIN f x ON x.own NOT IN (a.own, b.own, c.own) JOIN f e ON e.own NOT IN (a.own, b.own, c.own, x.own)),
+steps AS (
+  SELECT filter_order, step, owns[step] AS own, CAST(coalesce(list_sum(owns[1 : step - 1]), 0) AS INTEGER) AS before
+  FROM (SELECT filter_order, owns, unnest([1, 2, 3, 4, 5]) AS step FROM orders)),
+audit AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN mask & (before | own) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & own <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, own),
+shapley AS (SELECT part, own, sum(removed) AS shapley FROM audit GROUP BY part, own)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(shapley AS BIGINT) AS shapley
+FROM audit JOIN shapley USING (part, own)
+"""
+
+ORACLE = {"op1_substring_dedup": OP1, "op7_decontamination": OP7, "op9_minhash_dedup": OP9,
+          "op11_source_mix": OP11, "op13_filter_audit": OP13}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envspark.llm import (decontaminate, fingerprints, language, near_dedup, packing, pseudonyms, sharding,
-                          substring_dedup, token_counts, url_filter)
+from envspark.llm import (decontaminate, filter_audit, fingerprints, language, mixing, near_dedup, packing,
+                          pseudonyms, sharding, substring_dedup, token_counts, url_filter)
 from envspark.llm.common import ship
 
 
@@ -74,6 +74,16 @@ def op10_fingerprints(spark, sf_dir):
     return fingerprints.fingerprinted(_table(spark, sf_dir, "documents"))
 
 
+def op11_source_mix(spark, sf_dir):
+    found, (size, source_size, target, copies) = mixing.mixed(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col(size).alias("size"), F.col(source_size).alias("source_size"),
+                        F.col(target).alias("target"), (F.col(size) * F.col(copies)).alias("taken"))
+
+
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audited(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -86,4 +96,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii_pseudonyms": op8_pii_pseudonyms,
         "op9_minhash_dedup": op9_minhash_dedup,
         "op10_fingerprints": op10_fingerprints,
+        "op11_source_mix": op11_source_mix,
+        "op13_filter_audit": op13_filter_audit,
     }
