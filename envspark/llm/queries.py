@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envspark.llm import (decontaminate, filter_audit, fingerprints, language, mixing, near_dedup, packing,
-                          pseudonyms, sharding, substring_dedup, token_counts, url_filter)
-from envspark.llm.common import ship
+from envspark.llm import (alignment, decontaminate, filter_audit, fingerprints, language, mixing, near_dedup,
+                          packing, pseudonyms, sharding, substring_dedup, token_counts, url_filter)
+from envspark.llm.common import ship, stash
 
 
 def vocabulary(name: str) -> str:
@@ -80,6 +80,14 @@ def op11_source_mix(spark, sf_dir):
                         F.col(target).alias("target"), (F.col(size) * F.col(copies)).alias("taken"))
 
 
+def op12_token_alignment(spark, sf_dir):
+    found = alignment.aligned(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                              vocabulary("piece_bpe_32k.model"))
+    hashed = F.when(F.col("n_groups") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise(F.lit(""))
+    found = alignment.weighed(stash(found.withColumn("groups_sha256", hashed).drop("groups")))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_filter_audit(spark, sf_dir):
     return filter_audit.audited(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -97,5 +105,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_minhash_dedup": op9_minhash_dedup,
         "op10_fingerprints": op10_fingerprints,
         "op11_source_mix": op11_source_mix,
+        "op12_token_alignment": op12_token_alignment,
         "op13_filter_audit": op13_filter_audit,
     }
