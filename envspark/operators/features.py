@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from envspark.functions import indices, temporal
+from envspark.operators.bands import first_band, with_bands
 from envspark.operators.quality import column_means, fill_missing
 from envspark.operators.windows import OrderBuckets, fit_order_buckets, windowed
-from envspark.profiles import LAG_FEATURES, LAGS, POLLUTANTS, Profile, profile_of
+from envspark.profiles import BEYOND_SCALE, LAG_FEATURES, LAGS, POLLUTANTS, Profile, profile_of
 
 _INF = float("inf")
 
@@ -26,12 +27,17 @@ def with_index(df: DataFrame, profile: str | Profile) -> DataFrame:
     return df.withColumn("aqi_category", indices.category(F.col("aqi")))
 
 
-def categorize_by_table(df: DataFrame, column: str, bands: Sequence[tuple[str, float, float]],
+def categorize_by_table(df: DataFrame, column: str, bands: Sequence[tuple[str, float, float]] | DataFrame,
                         target: str = "category") -> DataFrame:
     """Look a value up in a table of (name, lo exclusive, hi inclusive) rows; NULL where none fits.
 
-    The bands are sorted and must not overlap, so that a binary search finds the only one that may fit.
+    A list of bands is sorted and must not overlap, so that a binary search finds the only one that may
+    fit. A DataFrame (name, lo, hi) may be large and its bands may overlap: the first by lo, hi and name counts.
     """
+    if isinstance(bands, DataFrame):
+        found, taken = "_found", bands.select("name", "lo", "hi")
+        held = with_bands(df, F.col(f"`{column}`"), taken, target=found)
+        return held.withColumn(target, first_band(F.col(found), ("lo", "hi", "name"))["name"]).drop(found)
     ordered = sorted((lo, hi, name) for name, lo, hi in bands if lo < hi)
     for (_, hi, name), (lo, _, other) in zip(ordered, ordered[1:]):
         if lo < hi:
@@ -54,6 +60,20 @@ def categorize_by_table(df: DataFrame, column: str, bands: Sequence[tuple[str, f
     return found.withColumn(target, named).drop(place, value)
 
 
+def interpolate_by_table(df: DataFrame, column: str, table: DataFrame, target: str = "index",
+                         beyond: float | None = BEYOND_SCALE) -> DataFrame:
+    """Index from a table (c_lo, c_hi, i_lo, i_hi) of closed bands: the first band by these columns that holds the
+    value counts, values in no band become `beyond`, NULL stays NULL."""
+    order, found, x = ("c_lo", "c_hi", "i_lo", "i_hi"), "_found", F.col(f"`{column}`").cast("double")
+    taken = table.select(*[F.col(c).cast("double").alias(c) for c in order])
+    held = with_bands(df, x, taken, "c_lo", "c_hi", found, closed=True).withColumn(
+        found, first_band(F.col(found), order))
+    at = {c: F.col(f"{found}.{c}") for c in order}
+    slope = F.coalesce(F.try_divide(at["i_hi"] - at["i_lo"], at["c_hi"] - at["c_lo"]), F.lit(0.0))
+    index = F.when(F.col(found).isNotNull(), slope * (x - at["c_lo"]) + at["i_lo"]).when(x.isNotNull(), F.lit(beyond))
+    return held.withColumn(target, index).drop(found)
+
+
 def with_calendar(df: DataFrame, profile: str | Profile, source: str = "datetime") -> DataFrame:
     """timestamp, hour, day_of_week, month, (year) and the cyclic hour."""
     p = profile_of(profile)
