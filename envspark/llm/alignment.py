@@ -96,31 +96,34 @@ class Aligner:
         n_a, n_b = (np.array([len(x[side]) for x in both], dtype=np.int64) for side in (0, 1))
         ids_a, ids_b = (np.fromiter(chain.from_iterable(x[side] for x in both), np.int64, int(n.sum()))
                         for side, n in ((0, n_a), (1, n_b)))
-        end_a, end_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
-        end_doc = np.concatenate([[0], end_a])[np.cumsum(n_a)]
-
-        label = end_a[components(end_a, end_b)]  # where each token's group ends
-        ends = np.unique(label)
-        group = np.searchsorted(ends, label)
-        n_groups = per_document(ends, end_doc)
-
-        borders = np.union1d(end_a, end_b)
-        link_a = ids_a[np.searchsorted(end_a, borders)]
-        link_b = ids_b[np.searchsorted(end_b, borders)]
-        doc = np.searchsorted(end_doc, borders)
-        pairs, links = np.unique((doc << self.bits) | (link_a << self.bits_b) | link_b, return_counts=True)
+        size_a, size_b = self.size_a[ids_a], self.size_b[ids_b]
+        end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
+        n_bytes = int(end_a[-1]) if len(end_a) else 0
+        bounds = np.concatenate([[0], np.concatenate([[0], end_a])[np.cumsum(n_a)]])
+        # what each byte lies in
+        at_a, at_b = np.repeat(np.arange(len(ids_a)), size_a), np.repeat(np.arange(len(ids_b)), size_b)
+        at_doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
+
+        label = end_a[components(end_a, end_b, at_a, at_b)]  # where each token's group ends
+        is_end = marked(n_bytes, label)
+        group = np.cumsum(is_end)[label - 1] - 1
+        n_groups = np.bincount(at_doc[is_end], minlength=len(texts))
+
+        last = np.flatnonzero(marked(n_bytes, end_a) | marked(n_bytes, end_b))  # the last byte of each link
+        doc = at_doc[last]
+        pairs, links = np.unique((doc << self.bits) | (ids_a[at_a[last]] << self.bits_b) | ids_b[at_b[last]], return_counts=True)
         held = np.bincount(pairs >> self.bits, minlength=len(texts))
         a = (pairs >> self.bits_b) & ((1 << (self.bits - self.bits_b)) - 1)
-        return {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": per_document(borders, end_doc),
+        return {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": np.bincount(doc, minlength=len(texts)),
                 "groups": self._written(ids_a, ids_b, group[:len(ids_a)], group[len(ids_a):], n_groups, n_a + n_b),
                 "held": held, "pairs": (a << 32) | (pairs & ((1 << self.bits_b) - 1)), "links": links}
 
     def _written(self, ids_a, ids_b, group_a, group_b, n_groups, n_tokens) -> list[bytes]:
         """`a1,a2|b1;a3|b2` of each document."""
         total = int(n_groups.sum())
-        numbers = np.arange(total)
-        place_a = np.arange(len(ids_a)) + np.searchsorted(group_b, numbers)[group_a]
-        place_b = np.arange(len(ids_b)) + np.searchsorted(group_a, numbers, "right")[group_b]
+        upto_a, upto_b = (np.cumsum(np.bincount(g, minlength=total)) for g in (group_a, group_b))
+        place_a = np.arange(len(ids_a)) + np.concatenate([[0], upto_b])[group_a]
+        place_b = np.arange(len(ids_b)) + upto_a[group_b]
         last_a = np.append(group_a[1:] != group_a[:-1], True)[:len(ids_a)]
         last_b = np.append(group_b[1:] != group_b[:-1], True)[:len(ids_b)]
         ends_doc = np.zeros(total, dtype=bool)
@@ -133,9 +136,12 @@ class Aligner:
         return [b"".join(written[low:high]) for low, high in zip(bounds, bounds[1:])]
 
 
-def components(end_a: np.ndarray, end_b: np.ndarray) -> np.ndarray:
-    """The terminal A token of the component of every token, A tokens first, by pointer jumping."""
-    far_b, far_a = np.searchsorted(end_b, end_a), np.searchsorted(end_a, end_b)
+def components(end_a: np.ndarray, end_b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> np.ndarray:
+    """The terminal A token of the component of every token, A tokens first, by pointer jumping.
+
+    `at_a` and `at_b` say which token each byte lies in.
+    """
+    far_b, far_a = at_b[end_a - 1], at_a[end_b - 1]
     own = np.arange(len(end_a))
     successor = np.concatenate([np.where(end_b[far_b] > end_a, len(end_a) + far_b, own), far_a])
     while True:
@@ -145,9 +151,11 @@ def components(end_a: np.ndarray, end_b: np.ndarray) -> np.ndarray:
         successor = doubled
 
 
-def per_document(sorted_ends: np.ndarray, end_doc: np.ndarray) -> np.ndarray:
-    """How many of the ends lie in each document."""
-    return np.diff(np.searchsorted(sorted_ends, end_doc, "right"), prepend=0)
+def marked(n_bytes: int, ends: np.ndarray) -> np.ndarray:
+    """Which bytes are the last before one of the ends."""
+    found = np.zeros(n_bytes, dtype=bool)
+    found[ends - 1] = True
+    return found
 
 
 @lru_cache(maxsize=2)
