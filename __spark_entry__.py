@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,16 +29,20 @@ from pyspark.sql import types as T
 
 from envspark.functions import indices, temporal
 from envspark.ml import forecast as fc
-from envspark.ml import forest
+from envspark.ml import forest, nodes
+from envspark.operators import bands as bd
 from envspark.operators import features as ft
 from envspark.operators import quality, quantiles, reports, serving
 from envspark.operators.windows import fit_order_buckets
-from envspark.plans import analysis, pipeline
+from envspark.plans import analysis, pipeline, sql_text
 from envspark.plans.session import tune
 from envspark.profiles import (CATEGORY_BANDS, FULL, GAPPED_PM25_BANDS, LAG_FEATURES, LITE, MEASURES,
                                POLLUTANTS)
+from envspark.sources import csv_files
 from envspark.sources import readings as src
 from envspark.sources import sinks
+from envspark.sources.storage import scratch_path, written
+from envspark.sources.stored import read_days, store_by_day
 from oracle.sql import ORACLE
 
 try:
@@ -156,6 +161,30 @@ def category_range_join(spark, sf_dir):
     return _rounded(ft.categorize_by_table(frame, "aqi", CATEGORY_BANDS))
 
 
+def category_by_table(spark, sf_dir):
+    """The same lookup with the bands as a table."""
+    table = spark.createDataFrame(list(CATEGORY_BANDS), "name string, lo double, hi double")
+    return _rounded(ft.categorize_by_table(_indexed(spark, sf_dir).select("reading_id", "aqi"), "aqi", table))
+
+
+def subindex_by_table(spark, sf_dir):
+    """The generic index with its breakpoints as a table."""
+    table = spark.createDataFrame([tuple(map(float, b)) for b in GAPPED_PM25_BANDS],
+                                  "c_lo double, c_hi double, i_lo double, i_hi double")
+    cleaned = quality.nullify_sentinels(_readings(spark, sf_dir)).select("reading_id", "pm25")
+    return _rounded(ft.interpolate_by_table(cleaned, "pm25", table, "aqi_pm25").select("reading_id", "aqi_pm25"))
+
+
+def bands_join(spark, sf_dir):
+    """All bands that hold a reading's PM10, from a table of a band per order; many overlap, some are empty."""
+    key = F.col("o_orderkey")
+    low = F.pmod(key, F.lit(7919)) * F.lit(0.0625)
+    table = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        key.alias("band"), low.alias("lo"), (low + F.pmod(key, F.lit(4)) * F.lit(0.0625)).alias("hi"))
+    raw = _readings(spark, sf_dir).select("reading_id", "pm10")
+    return bd.range_join(raw, "pm10", table).select("reading_id", "band")
+
+
 def calendar_features(spark, sf_dir):
     raw = _readings(spark, sf_dir)
     return raw.select("reading_id", *[c.alias(n) for n, c in
@@ -225,9 +254,27 @@ def predictions_by_category(spark, sf_dir):
     return serving.filter_predictions(served, category="very-unhealthy").select(*serving.SERVED_COLUMNS)
 
 
+def prediction_sample(spark, sf_dir):
+    raw = _readings(spark, sf_dir)
+    buckets = fit_order_buckets(raw)
+    return serving.prediction_sample(pipeline.persistence_predictions(raw, buckets=buckets), buckets=buckets)
+
+
 def predictions_page(spark, sf_dir):
-    served = serving.served_rows(_predictions(spark, sf_dir))
-    return serving.page(serving.filter_predictions(served, zone="south"), 3, 15).select(*serving.SERVED_COLUMNS)
+    raw = _readings(spark, sf_dir)
+    buckets = fit_order_buckets(raw)
+    served = serving.served_rows(pipeline.persistence_predictions(raw, buckets=buckets))
+    return serving.page(serving.filter_predictions(served, zone="south"), 3, 15, buckets).select(*serving.SERVED_COLUMNS)
+
+
+def predictions_cursor_page(spark, sf_dir):
+    """The fourth page of a hundred rows, reached by the tokens of the pages before it over rows stored by day."""
+    path = scratch_path(spark, "served")
+    store_by_day(serving.served_rows(_predictions(spark, sf_dir)), path)
+    stored, token = read_days(spark, path), None
+    for _ in range(3):
+        token = serving.next_token(serving.page_after(stored, token, 100, day="day"))
+    return serving.page_after(stored, token, 100, day="day").select(*serving.SERVED_COLUMNS)
 
 
 def predictions_page_deep(spark, sf_dir):
@@ -247,8 +294,16 @@ def rolling_global(spark, sf_dir):
     return reports.rolling_global(raw, fit_order_buckets(raw))
 
 
+def rolling_global_sql(spark, sf_dir):
+    raw = _readings(spark, sf_dir)
+    return sql_text.rolling_mean(raw, fit_order_buckets(raw))
+
+
 def rolling_global_head(spark, sf_dir):
-    return reports.first_rows(rolling_global(spark, sf_dir), 10).select("datetime", "pm25", "rolling_avg_pm25")
+    raw = _readings(spark, sf_dir)
+    buckets = fit_order_buckets(raw)
+    first = reports.first_rows(reports.rolling_global(raw, buckets), 10, buckets)
+    return first.select("datetime", "pm25", "rolling_avg_pm25")
 
 
 def zone_index(spark, sf_dir):
@@ -332,11 +387,81 @@ def csv_features(spark, sf_dir):
     return _rounded(pipeline.features(src.typed(back), "full"))
 
 
+def seasonal_quartiles_sketched(spark, sf_dir):
+    """Quartiles by season from stored sketches of days: are they within the stated error of their ranks?"""
+    dated = ft.with_calendar(_indexed(spark, sf_dir), FULL)
+    frame = _keep("sketched", dated.select(F.to_date("timestamp").alias("day"), temporal.season(F.col("month")).alias("season"),
+                                           F.col("aqi").alias("v")))
+    daily = written(quantiles.quantile_sketches(frame, ["day", "season"], "v"), "sketches")
+    names = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    found = quantiles.sketched_quantiles(quantiles.merged_sketches(daily, ["season"]), ["season"], names)
+    ranked = frame.join(F.broadcast(found), "season").groupBy("season").agg(  # four rows
+        F.count("v").alias("count"), *[F.avg((F.col("v") < F.col(n)).cast("int")).alias(f"{n}_below") for n in names],
+        *[F.avg((F.col("v") <= F.col(n)).cast("int")).alias(f"{n}_upto") for n in names])
+    error = quantiles.SKETCH_ERROR
+    return ranked.select("season", "count", *[
+        ((F.col(f"{n}_below") - error <= p) & (F.col(f"{n}_upto") + error >= p)).alias(f"{n}_within") for n, p in names.items()])
+
+
+def quality_funnel_observed(spark, sf_dir):
+    """The counts of the funnel, taken in flight by the job that stores the cleaned rows."""
+    _, counts = analysis.store_indexed(_readings(spark, sf_dir), scratch_path(spark, "indexed"))
+    return spark.createDataFrame([counts], "rows_before long, rows_after long, rows_removed long")
+
+
+def csv_ingest(spark, sf_dir):
+    """Readings written as CSV files of two column orders, with bad numbers and times among them, and read back:
+    every row is accepted with its values or rejected with a reason."""
+    number = F.col("reading_id")
+    raw = _readings(spark, sf_dir).select(
+        "reading_id", F.when(number % 19 == 0, "yesterday").otherwise(F.col("datetime").cast("string")).alias("datetime"),
+        F.when(number % 13 == 0, "abc").otherwise(F.col("pm25").cast("string")).alias("pm25"), *MEASURES[1:], "station")
+    path = scratch_path(spark, "csv")
+    raw.filter(number % 2 == 0).write.csv(f"{path}/in/even", header=True)
+    raw.filter(number % 2 == 1).select(*raw.columns[::-1]).write.csv(f"{path}/in/odd", header=True)
+    accepted, rejected = csv_files.ingest(spark, f"{path}/in/*", f"{path}/out")
+    columns = ["reading_id", "datetime", "station", *MEASURES]
+    lost = rejected.select(F.col("fields")["reading_id"].cast("long").alias("reading_id"), "reason")
+    return _rounded(accepted.select(*columns, F.lit("accepted").alias("status"))
+                    .unionByName(lost.withColumn("status", F.lit("rejected")), allowMissingColumns=True))
+
+
+def stored_days(spark, sf_dir):
+    """Two days are stored, the first is written again with other values, and both are read."""
+    raw = _readings(spark, sf_dir).select("reading_id", "datetime", "pm10")
+    day = F.to_date("datetime")
+    first, second = [r.day for r in raw.select(day.alias("day")).distinct().orderBy("day").limit(2).collect()]
+    path = scratch_path(spark, "days")
+    store_by_day(raw.filter(day.isin(first, second)), path)
+    store_by_day(raw.filter(day == F.lit(first)).withColumn("pm10", F.lit(0.0)), path)
+    return _rounded(read_days(spark, path, first, second).drop("day"))
+
+
+def filter_high_pm25_stored(spark, sf_dir):
+    """The threshold filter over a month of the table stored by day."""
+    raw = _readings(spark, sf_dir).select("reading_id", "datetime", "pm25")
+    path = scratch_path(spark, "days")
+    store_by_day(raw, path)
+    start = raw.agg(F.min(F.to_date("datetime")).alias("day")).first().day
+    span = read_days(spark, path, start + timedelta(days=100), start + timedelta(days=130))
+    return reports.exceedances(span).select("reading_id", "pm25")
+
+
+def _bundle(spark, sf_dir):
+    """The result sets of a run, on the persistence prediction."""
+    raw = _readings(spark, sf_dir)
+    buckets = fit_order_buckets(raw)
+    scored = _keep("report_bundle", pipeline.persistence_predictions(raw, buckets=buckets))
+    return analysis.run_report(raw, None, scored, scored, "full", buckets)
+
+
+def bundle_member(name):
+    return lambda spark, sf_dir: _bundle(spark, sf_dir)[name]
+
+
 def report_bundle(spark, sf_dir):
     """Rows of each result set of a run, on the persistence prediction."""
-    raw = _readings(spark, sf_dir)
-    scored = _keep("report_bundle", pipeline.persistence_predictions(raw))
-    bundle = analysis.run_report(raw, None, scored, scored, "full")
+    bundle = _bundle(spark, sf_dir)
     counts = [df.agg(F.lit(name).alias("name"), F.count("*").alias("n_rows")) for name, df in sorted(bundle.items())]
     return reduce(DataFrame.unionByName, counts)
 
@@ -388,6 +513,42 @@ def split_random_checked(spark, sf_dir):
                      < F.greatest(F.lit(0.02), 1.6 / F.sqrt(F.count("*")))).alias("near_share"))
 
 
+def _agrees(one, other, name="agrees"):
+    """Whether two sums of the same numbers in another order are equal."""
+    return (F.abs(F.col(one) - F.col(other)) <= F.greatest(F.lit(1.0), F.abs(F.col(one))) * 1e-9).alias(name)
+
+
+def rf_scores_from_nodes(profile):
+    """The forest's scores made again by joins with its table of nodes, against those of the model."""
+    def query(spark, sf_dir):
+        model, scored = _model(spark, sf_dir, profile)
+        vectors = _keep(f"vectors_{profile}", nodes.inputs(model, scored).select(
+            "reading_id", "features", F.col("prediction").alias("given")))
+        again = nodes.score_by_nodes(nodes.tree_nodes(model), vectors, nodes.forest_depth(model), ["reading_id"])
+        return vectors.join(again, "reading_id").select("reading_id", _agrees("given", "prediction"))
+    return query
+
+
+def importance_from_nodes(spark, sf_dir):
+    """Importances made again from the gains of the splits, for the forests of both profiles."""
+    found = []
+    for p in (FULL, LITE):
+        model, scored = _model(spark, sf_dir, p.name)
+        given = forest.feature_importance(model, scored, p).select("feature", F.col("importance").alias("given"))
+        again = nodes.importance_by_nodes(nodes.tree_nodes(model), p)
+        found.append(given.join(again, "feature").select(F.lit(p.name).alias("profile"), "feature", _agrees("given", "importance")))
+    return found[0].unionByName(found[1])
+
+
+def forecast_from_nodes(spark, sf_dir):
+    """The forecast made again from the table of nodes."""
+    model, _ = _model(spark, sf_dir, "full")
+    frame = _keep("scenario", fc.forecast_frame(_features(spark, sf_dir)))
+    given = forest.score(model, frame).select("hour", F.col("prediction").alias("given"))
+    again = nodes.score_by_nodes(nodes.tree_nodes(model), nodes.inputs(model, frame), nodes.forest_depth(model), ["hour"])
+    return given.join(again, "hour").select("hour", _agrees("given", "prediction"))
+
+
 def rf_fit_predict(profile):
     def query(spark, sf_dir):
         return _model(spark, sf_dir, profile)[1].select("reading_id", "zone", "hour", "aqi", "aqi_category",
@@ -450,6 +611,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                    .select("reading_id", *MEASURES), 6),
         "impute_mean_lite": on_readings(lambda r: quality.impute_mean(r).select("reading_id", *MEASURES), 6),
         "filter_valid": on_readings(lambda r: quality.clean(r, FULL).select("reading_id", *MEASURES), 6),
+        "filter_high_pm25_stored": filter_high_pm25_stored,
+        "stored_days": stored_days,
+        "csv_ingest": csv_ingest,
+        "quality_funnel_observed": quality_funnel_observed,
         "quality_funnel": on_readings(lambda r: quality.quality_funnel(
             quality.impute_mean(quality.nullify_sentinels(r)))),
         "aqi_not_null": aqi_not_null,
@@ -460,6 +625,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "describe_readings": on_readings(quality.describe_long, 4),
         "basic_stats": on_readings(reports.basic_stats),
         "basic_stats_short": on_readings(reports.basic_stats_short),
+        "basic_stats_sql": on_readings(sql_text.basic_stats),
+        "basic_stats_short_sql": on_readings(sql_text.basic_stats_short),
+        "hourly_pattern_sql": on_readings(sql_text.hourly_pattern),
         "hourly_pattern_raw": on_readings(reports.hourly_pattern),
         "hourly_totals": on_readings(reports.hourly_totals),
         "distinct_dates": on_readings(reports.distinct_dates),
@@ -473,10 +641,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "aqi_lite": index_of("lite"),
         "aqi_category": aqi_category,
         "category_range_join": category_range_join,
+        "category_by_table": category_by_table,
+        "subindex_by_table": subindex_by_table,
+        "bands_join": bands_join,
         "category_distribution": lambda s, d: reports.category_distribution(_indexed(s, d)),
         "category_share": lambda s, d: reports.category_share(_indexed(s, d)),
         "describe_aqi": lambda s, d: _rounded(quality.describe_long(_indexed(s, d), ["aqi"]), 4),
         "seasonal_quartiles": seasonal_quartiles,
+        "seasonal_quartiles_sketched": seasonal_quartiles_sketched,
         # time and keys
         "parse_timestamp": parse_timestamp,
         "calendar_features": calendar_features,
@@ -489,6 +661,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rolling_prev3": rolling("full", -3, -1),
         "rolling_cur3": rolling("lite", -2, 0),
         "rolling_global": rolling_global,
+        "rolling_global_sql": rolling_global_sql,
         "rolling_global_head": rolling_global_head,
         "fill_lags_mean": fill_lags("full", "mean"),
         "fill_lags_zero": fill_lags("lite", "zero"),
@@ -519,11 +692,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "data_summary": data_summary,
         # serving and export
         "predictions_export": on_predictions(sinks.predictions_export, 6),
-        "prediction_sample": on_predictions(serving.prediction_sample),
+        "prediction_sample": prediction_sample,
         "predictions_by_zone": predictions_by_zone,
         "predictions_by_category": predictions_by_category,
         "predictions_page": predictions_page,
         "predictions_page_deep": predictions_page_deep,
+        "predictions_cursor_page": predictions_cursor_page,
         "page_info": page_info,
         # model
         "zone_index": zone_index,
@@ -535,8 +709,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "final_vector": final_vector,
         "csv_features": csv_features,
         "report_bundle": report_bundle,
+        **{f"bundle_{name}": bundle_member(name) for name in (
+            "metrics", "zones", "hourly_pattern", "category_distribution", "predictions", "data", "pollutant_stats")},
         "rf_checked": rf_checked("full"),
         "rf_checked_lite": rf_checked("lite"),
+        "rf_scores_from_nodes": rf_scores_from_nodes("full"),
+        "rf_scores_from_nodes_lite": rf_scores_from_nodes("lite"),
+        "importance_from_nodes": importance_from_nodes,
+        "forecast_from_nodes": forecast_from_nodes,
         "importance_checked": importance_checked,
         "forecast_checked": forecast_checked,
         "split_random_checked": split_random_checked,

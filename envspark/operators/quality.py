@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,15 +98,24 @@ def quality_funnel(df: DataFrame) -> DataFrame:
     return counts.withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 
-def clean(df: DataFrame, profile: str | Profile) -> DataFrame:
-    """Missing-data stage of a profile."""
+def clean(df: DataFrame, profile: str | Profile, seen: Observation | None = None) -> DataFrame:
+    """Missing-data stage of a profile. `seen` gets the counts of `quality_funnel` from the first job that
+    runs the frame, without a pass of their own."""
     p = profile_of(profile)
     if p.sentinels:
         df = nullify_sentinels(df, sentinels=p.sentinels)
     df = impute_mean(df)
+    if seen is not None:
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows_before"), F.count_if(valid_row()).alias("rows_after"))
     return filter_valid(df) if p.drop_invalid else df
 
 
+def observed_funnel(seen: Observation) -> dict[str, int]:
+    """The counts of a frame from `clean`, once a job has run it."""
+    counts = seen.get
+    return {**counts, "rows_removed": counts["rows_before"] - counts["rows_after"]}
+
+
 # --- profiling --------------------------------------------------------------
 
 def missing_profile(df: DataFrame, columns: Sequence[str] | None = None,

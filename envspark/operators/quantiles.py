@@ -8,7 +8,7 @@ Equal values are counted together before the shuffle, so a frequent value is one
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -83,3 +83,32 @@ def seasonal_quartiles(df: DataFrame, value: str = "aqi", approximate: bool = Fa
     exact = exact_quantiles(seasonal, "season", "v", list(names.values()))
     return exact.groupBy("season").agg(F.max("count").alias("count"), *[
         F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(n) for n, p in names.items()])
+
+
+# --- stored sketches --------------------------------------------------------
+
+#: size of a sketch and the rank error it keeps, also after merging, with 99 % confidence
+SKETCH_K = 800
+SKETCH_ERROR = 0.0075
+
+
+def quantile_sketches(df: DataFrame, by: Sequence[str], value: str, k: int = SKETCH_K) -> DataFrame:
+    """(by, sketch, n): a few kilobytes per group that stand for the distribution of its values.
+
+    Sketches of days can be stored and merged later into those of any longer span, so a quantile over
+    years needs neither the rows nor a new pass. NULL and NaN are left out.
+    """
+    usable = F.when(~F.isnan(F.col(value).cast("double")), F.col(value).cast("double"))
+    return df.groupBy(*by).agg(F.kll_sketch_agg_double(usable, k).alias("sketch"), F.count(usable).alias("n"))
+
+
+def merged_sketches(sketches: DataFrame, by: Sequence[str], k: int = SKETCH_K) -> DataFrame:
+    """The sketches of coarser groups, from those of finer ones."""
+    kept = sketches.filter(F.col("n") > 0)
+    return kept.groupBy(*by).agg(F.kll_merge_agg_double("sketch", k).alias("sketch"), F.sum("n").alias("n"))
+
+
+def sketched_quantiles(sketches: DataFrame, by: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
+    """(by, n, one column per named probability), each within `SKETCH_ERROR` of its rank."""
+    return sketches.select(*by, "n", *[F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias(name)
+                                       for name, p in probabilities.items()])

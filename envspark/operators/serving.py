@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import base64
+import datetime as dt
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +29,10 @@ def served_rows(df: DataFrame) -> DataFrame:
         F.round(F.abs(F.col("aqi") - F.col("prediction")), 2).alias("error"), "aqi_category")
 
 
-def prediction_sample(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
-    """The first n scored rows in time order, rounded for display."""
-    return served_rows(first_rows(df, n)).select(*SERVED_COLUMNS)
+def prediction_sample(df: DataFrame, n: int = SAMPLE_ROWS, buckets: OrderBuckets | None = None) -> DataFrame:
+    """The first n scored rows in time order, rounded for display. `buckets` of the raw table save fitting
+    them on `df`, which runs its whole plan."""
+    return served_rows(first_rows(df, n, buckets)).select(*SERVED_COLUMNS)
 
 
 def matches(zone: str = "all", category: str = "all") -> Column:
@@ -52,6 +57,46 @@ def page(df: DataFrame, number: int = 1, per_page: int = PER_PAGE,
     return slice_rows(df, (number - 1) * per_page, per_page, buckets)
 
 
+def token_of(time: dt.datetime | None, tie: int) -> str:
+    """An opaque mark of a place in the order (time, tie): a page goes on behind it."""
+    place = json.dumps([None if time is None else time.isoformat(), int(tie)])
+    return base64.urlsafe_b64encode(place.encode()).decode()
+
+
+def place_of(token: str) -> tuple[dt.datetime | None, int]:
+    try:
+        time, tie = json.loads(base64.urlsafe_b64decode(token.encode()))
+        return None if time is None else dt.datetime.fromisoformat(time), int(tie)
+    except (ValueError, TypeError) as wrong:
+        raise ValueError("this is no page token") from wrong
+
+
+def behind(token: str, time: str = "datetime", tie: str = "reading_id", day: str | None = None) -> Column:
+    """Rows after a token's place. It compares plain columns with values, so it reaches the scan of a
+    stored table; `day` names the column of dates that the table is partitioned by."""
+    at, number = place_of(token)
+    later = F.col(tie) > number
+    if at is None:  # rows without a time come first
+        return F.col(time).isNotNull() | later
+    stamp = F.lit(at).cast("timestamp_ntz")
+    found = (F.col(time) >= stamp) & ((F.col(time) > stamp) | later)
+    return found if day is None else (F.col(day) >= F.lit(at.date())) & found
+
+
+def page_after(df: DataFrame, token: str | None = None, per_page: int = PER_PAGE, time: str = "datetime",
+               tie: str = "reading_id", day: str | None = None) -> DataFrame:
+    """The next page behind a token, or the first one. No row before it is counted or sorted: tasks keep
+    their first `per_page` rows each."""
+    rows = df if token is None else df.filter(behind(token, time, tie, day))
+    return rows.orderBy(time, tie).limit(per_page)
+
+
+def next_token(page: DataFrame, time: str = "datetime", tie: str = "reading_id") -> str | None:
+    """The token behind a page; None behind an empty one."""
+    last = page.select(time, tie).orderBy(F.desc(time), F.desc(tie)).first()
+    return None if last is None else token_of(last[0], last[1])
+
+
 def page_info(df: DataFrame, match: Column, number: int = 1, per_page: int = PER_PAGE) -> DataFrame:
     """total, page and pages of the matching rows, in one pass: at least one page, but none
     when there are no rows at all."""

@@ -7,7 +7,9 @@ rows that a frame reaches back over a cut travel along as a halo:
 1. `fit_order_buckets` reads only the ordering columns and asks Spark for
    approximate quantiles. A timestamp so frequent that it fills buckets of its
    own is cut further by the tie-breaker, so no timestamp can make a hot bucket.
-   The cuts are fixed numbers, so the bucket of a row never changes on a retry.
+   The cuts are fixed numbers, so the bucket of a row never changes on a retry. The driver sees
+   `COARSE` cuts at most; larger tables cut each of these buckets further by a table of quantiles that Spark
+   fits, bucket by bucket, and that rows look their own bucket's cuts up in.
 2. `windowed` keeps the last rows of every (group, bucket), which Spark limits
    before the shuffle, finds the rows that precede each bucket among them, adds
    these to the data and runs the window by (group, bucket).
@@ -25,10 +27,16 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from envspark.sources.storage import written
+
 # rows that a bucket should not exceed; larger tables get more buckets, not larger ones
 BUCKET_ROWS = 1_000_000
+# buckets whose cuts the driver holds, and parts that each of them is cut into further at most; together they
+# serve 10**12 rows, with a table of cuts of at most 8 MB
+COARSE, FINE = 1000, 1000
 
 BUCKET = "_bucket"
+OWN = "_own"
 _INF = float("inf")
 # key of a missing timestamp, below every other key
 _NULL_KEY = 1.0 - 2.0 ** 53
@@ -79,6 +87,10 @@ class OrderBuckets:
     tie_low: float = 0.0
     tie_span: float = 0.0
     fine_cuts: tuple[float, ...] = ()
+    #: (bucket, cuts): a sorted array of further cuts per bucket of the above, or None
+    table: DataFrame | None = None
+    parts: int = 1
+    tie_range: tuple[float, float] = (0.0, 0.0)
 
     @property
     def single(self) -> bool:
@@ -88,17 +100,39 @@ class OrderBuckets:
         """Add the bucket number, which never decreases along the order."""
         if self.single:
             return df.withColumn(name, F.lit(0).cast("long"))
-        df = _cut(df.withColumn(name, time_key(df, self.time)), name, self.time_cuts)
-        if self.fine_cuts:
-            df = _cut(df.withColumn(name, self.position(name)), name, self.fine_cuts)
-        return df
+        if self.table is None:
+            return self._outer(df, name)
+        key, cuts, of = f"{name}_key", f"{name}_cuts", f"{name}_of"
+        side = F.broadcast(self.table.withColumnsRenamed({"bucket": of, "cuts": cuts}))  # a row per coarse bucket
+        found = self._outer(df, name, key).join(side, F.col(name) == F.col(of), "left")
+        below = _count_below(F.coalesce(F.col(cuts), F.array().cast("array<double>")), F.col(key))
+        return found.withColumn(name, F.col(name) * self.parts + below).drop(key, cuts, of)
+
+    def _outer(self, df: DataFrame, name: str, key: str | None = None) -> DataFrame:
+        """Add the coarse bucket and, as `key`, what orders the rows within it: the time since the bucket's
+        first cut in microseconds, and less than one more along the tie-breaker."""
+        found = df.withColumn(name, time_key(df, self.time))
+        if key:
+            found = found.withColumn(key, F.col(name))
+        found = _cut(found, name, self.time_cuts)
+        if key:
+            first = F.expr(f"array({', '.join(f'{c!r}D' for c in self.time_cuts)})")
+            since = F.col(key) - F.get(first, F.greatest(F.col(name) - 1, F.lit(0)).cast("int"))
+            found = found.withColumn(key, since + self._along_tie(*self.tie_range))
+        return _cut(found.withColumn(name, self.position(name)), name, self.fine_cuts) if self.fine_cuts else found
+
+    def _along_tie(self, low: float, span: float) -> Column:
+        """The place of the tie-breaker in a range, from 0 to one half; a missing one comes first."""
+        place = (F.col(self.tie).cast("double") - low) / (span or 1.0)
+        return F.least(F.greatest(F.coalesce(place, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)) * 0.5
+
+    def _is_hot(self, time_bucket: str) -> Column:
+        return F.expr(f"{time_bucket} IN ({', '.join(map(str, self.hot))})")
 
     def position(self, time_bucket: str) -> Column:
         """Time bucket, moved on by less than 1 along the tie-breaker if it is a hot one."""
-        place = (F.col(self.tie).cast("double") - self.tie_low) / self.tie_span
-        moved = F.least(F.greatest(F.coalesce(place, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)) * 0.5
-        is_hot = F.expr(f"{time_bucket} IN ({', '.join(map(str, self.hot))})")
-        return F.col(time_bucket) + F.when(is_hot, moved).otherwise(0.0)
+        moved = self._along_tie(self.tie_low, self.tie_span)
+        return F.col(time_bucket) + F.when(self._is_hot(time_bucket), moved).otherwise(0.0)
 
 
 def _cut(df: DataFrame, name: str, cuts: Sequence[float]) -> DataFrame:
@@ -108,14 +142,39 @@ def _cut(df: DataFrame, name: str, cuts: Sequence[float]) -> DataFrame:
     return cutter.transform(df).withColumn(name, F.col(found).cast("long")).drop(found)
 
 
+def _count_below(cuts: Column, value: Column) -> Column:
+    """How many of the sorted cuts are at or below a value, by binary search; a missing value is below all."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(FINE.bit_length()))])
+
+    def step(low: Column, size: Column) -> Column:
+        return F.when(F.get(cuts, low + size - 1) <= value, low + size).otherwise(low)
+
+    return F.aggregate(steps, F.lit(0), step).cast("long")
+
+
 def fit_order_buckets(df: DataFrame, time: str = "datetime", tie: str = "reading_id",
-                      buckets: int | None = None) -> OrderBuckets:
+                      buckets: int | None = None, coarse: int = COARSE) -> OrderBuckets:
     """Cut the rows of `df`, ordered by (time, tie), into about `buckets` equal buckets.
 
     Any frame with the same ordering columns will do: cuts taken from a raw
-    table stay right, only less even, for a filtered one.
+    table stay right, only less even, for a filtered one. Beyond `coarse` buckets, cuts are made in two levels.
     """
     buckets = buckets or default_buckets(df.select(time))
+    outer = _fit_cuts(df, time, tie, min(buckets, coarse))
+    parts = min(FINE, -(-buckets // coarse))
+    if parts < 2 or outer.single:
+        return outer
+    key = f"{BUCKET}_key"
+    limits = df.agg(F.min(tie).cast("double").alias("low"), F.max(tie).cast("double").alias("high")).first()
+    outer = replace(outer, tie_range=(limits.low or 0.0, (limits.high or 0.0) - (limits.low or 0.0)))
+    placed = outer._outer(df.select(time, tie), BUCKET, key)
+    quantiles = F.percentile_approx(key, [i / parts for i in range(1, parts)], 4 * parts)
+    cuts = placed.groupBy(F.col(BUCKET).alias("bucket")).agg(F.array_sort(F.array_distinct(quantiles)).alias("cuts"))
+    return replace(outer, table=written(cuts, "cuts"), parts=parts + 1)
+
+
+def _fit_cuts(df: DataFrame, time: str, tie: str, buckets: int) -> OrderBuckets:
+    """Cuts of one level, which the driver holds."""
     found = _quantiles(df, time_key(df, time), buckets)
     # A timestamp (or a missing one) that is two quantiles in a row fills at least a
     # whole bucket. It is set apart only where each timestamp has a key of its own.
@@ -150,15 +209,25 @@ def windowed(df: DataFrame, columns: Mapping[str, Callable[[WindowSpec], Column]
         plain = Window.partitionBy(*by, F.lit(0)).orderBy(time, tie)
         return df.withColumns({name: make(plain) for name, make in columns.items()})
 
-    uses = [c for c in uses if c not in (time, tie, *by)]
-    own = "_own"
-    rows = buckets.assign(df)
-    halo = _preceding_rows(rows, by, time, tie, uses, back)
-    both = rows.withColumn(own, F.lit(True)).unionByName(halo.withColumn(own, F.lit(False)),
-                                                         allowMissingColumns=True)
+    both = with_halo(df, buckets, by, back, uses)
     spec = Window.partitionBy(*by, BUCKET).orderBy(time, tie)
     added = both.withColumns({name: make(spec) for name, make in columns.items()})
-    return added.filter(F.col(own)).drop(own, BUCKET)
+    return added.filter(F.col(OWN)).drop(OWN, BUCKET)
+
+
+def with_halo(df: DataFrame, buckets: OrderBuckets, by: Sequence[str] = (), back: int = 3,
+              uses: Sequence[str] = ()) -> DataFrame:
+    """The rows with their bucket, and for each (group, bucket) the `back` rows before it once more.
+
+    The latter are marked by `_own` = false and have the columns `uses` only. A window by (group,
+    bucket) that reaches back `back` rows at most is right for the other rows.
+    """
+    time, tie = buckets.time, buckets.tie
+    rows = buckets.assign(df)
+    if buckets.single:
+        return rows.withColumn(OWN, F.lit(True))
+    halo = _preceding_rows(rows, by, time, tie, [c for c in uses if c not in (time, tie, *by)], back)
+    return rows.withColumn(OWN, F.lit(True)).unionByName(halo.withColumn(OWN, F.lit(False)), allowMissingColumns=True)
 
 
 def _preceding_rows(rows: DataFrame, by, time, tie, uses, back) -> DataFrame:

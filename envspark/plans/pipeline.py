@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from envspark.operators import features as ft
@@ -11,23 +11,27 @@ from envspark.operators.windows import OrderBuckets, fit_order_buckets
 from envspark.profiles import Profile, profile_of
 
 
-def indexed(readings: DataFrame, profile: str | Profile = "full") -> DataFrame:
+def indexed(readings: DataFrame, profile: str | Profile = "full", seen: Observation | None = None) -> DataFrame:
     """Cleaned readings with zone, sub-indices, overall index and category.
 
     The value rule of the lite profile looks at the readings before they are
-    imputed; the id rule does not care.
+    imputed; the id rule does not care. `seen` counts rows in flight, see `quality.clean`.
     """
     p = profile_of(profile)
     zoned = ft.assign_zone(readings, by=p.zone_rule)
-    return ft.with_index(quality.clean(zoned, p), p)
+    return ft.with_index(quality.clean(zoned, p, seen), p)
 
 
 def features(readings: DataFrame, profile: str | Profile = "full",
              buckets: OrderBuckets | None = None) -> DataFrame:
     """The engineered frame of a profile."""
     p = profile_of(profile)
-    buckets = buckets or fit_order_buckets(readings)
-    base = indexed(readings, p)
+    return features_of(indexed(readings, p), p, buckets or fit_order_buckets(readings))
+
+
+def features_of(base: DataFrame, profile: str | Profile, buckets: OrderBuckets) -> DataFrame:
+    """The engineered frame of indexed readings, which may be stored ones."""
+    p = profile_of(profile)
     with_history = ft.add_history(ft.with_calendar(base, p), p, buckets)
     filled = ft.fill_lags(with_history, p.lag_fill, means_of=base)
     framed = ft.interactions(filled)

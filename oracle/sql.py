@@ -488,3 +488,51 @@ ORACLE: dict[str, str] = {
  {r(f'sin({dbl(2)} * {FULL_PI} * hour / {dbl(24)})', 4)} AS hour_sin,
  {r(f'cos({dbl(2)} * {FULL_PI} * hour / {dbl(24)})', 4)} AS hour_cos FROM hours24 CROSS JOIN m"""),
 }
+
+SEASON = """CASE WHEN month(datetime) IN (12, 1, 2) THEN 'Winter' WHEN month(datetime) IN (3, 4, 5) THEN 'Spring'
+ WHEN month(datetime) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END"""
+BAND_LOW = "(o_orderkey % 7919) * 0.0625::DOUBLE"
+BAD_ROW = "CASE WHEN reading_id % 13 = 0 THEN 'pm25 is no double' WHEN reading_id % 19 = 0 THEN 'datetime is no timestamp' END"
+TEST_ROWS = f"NOT ({IS_TRAIN}) AND " + " AND ".join(
+    f"{c} IS NOT NULL" for c in FEATURES + ["aqi", "zone", "datetime", "aqi_category"])
+
+ORACLE |= {
+    # the same results by another way
+    "category_by_table": ORACLE["category_range_join"],
+    "subindex_by_table": ORACLE["subindex_generic"],
+    "basic_stats_sql": ORACLE["basic_stats"],
+    "basic_stats_short_sql": ORACLE["basic_stats_short"],
+    "hourly_pattern_sql": ORACLE["hourly_pattern_raw"],
+    "rolling_global_sql": ORACLE["rolling_global"],
+    "quality_funnel_observed": ORACLE["quality_funnel"],
+    "bundle_metrics": ORACLE["model_metrics"],
+    "bundle_zones": ORACLE["zone_risk"],
+    "bundle_hourly_pattern": ORACLE["hourly_risk"],
+    "bundle_category_distribution": query(SCORED, "SELECT aqi_category, count(*) AS count FROM predictions GROUP BY aqi_category"),
+    "bundle_predictions": ORACLE["prediction_sample"],
+    "bundle_data": ORACLE["data_summary"],
+    "bundle_pollutant_stats": ORACLE["pollutant_stats"],
+    # bands, stored days, files
+    "bands_join": query([READINGS], f"""SELECT reading_id, o_orderkey AS band FROM readings JOIN orders
+ ON pm10 > {BAND_LOW} AND pm10 <= {BAND_LOW} + (o_orderkey % 4) * 0.0625::DOUBLE"""),
+    "predictions_cursor_page": query(SERVED, f"SELECT {SERVED_COLUMNS} FROM served ORDER BY {PREVIOUS} LIMIT 100 OFFSET 300"),
+    "seasonal_quartiles_sketched": query(FULL_INDEX, f"""SELECT {SEASON} AS season, count(aqi) AS count, TRUE AS q1_within,
+ TRUE AS median_within, TRUE AS q3_within FROM indexed GROUP BY 1"""),
+    "stored_days": query([READINGS, ("two", "SELECT DISTINCT CAST(datetime AS DATE) AS d FROM readings ORDER BY d LIMIT 2")],
+        f"""SELECT reading_id, datetime, CASE WHEN d = (SELECT min(d) FROM two) THEN {dbl(0)} ELSE {half_up('pm10', 6)} END AS pm10
+ FROM readings JOIN two ON CAST(datetime AS DATE) = d"""),
+    "filter_high_pm25_stored": query([READINGS, ("start", "SELECT min(CAST(datetime AS DATE)) AS d FROM readings")],
+        """SELECT reading_id, pm25 FROM readings, start
+ WHERE pm25 > 50 AND CAST(datetime AS DATE) BETWEEN d + 100 AND d + 130"""),
+    "csv_ingest": query([READINGS, ("judged", f"SELECT *, {BAD_ROW} AS reason FROM readings")],
+        f"""SELECT reading_id, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status, reason,
+ {comma(f'CASE WHEN reason IS NULL THEN {c} END AS {c}' for c in ('datetime', 'station'))},
+ {comma(f'CASE WHEN reason IS NULL THEN {half_up(m, 6)} END AS {m}' for m in MEASURES)} FROM judged"""),
+    # the forest as a table of nodes
+    "rf_scores_from_nodes": query(FULL_FEATURES, f"SELECT reading_id, TRUE AS agrees FROM features WHERE {TEST_ROWS}"),
+    "rf_scores_from_nodes_lite": query(LITE_VECTORS, f"SELECT reading_id, TRUE AS agrees FROM lite_vectors WHERE NOT ({IS_TRAIN})"),
+    "importance_from_nodes": " UNION ALL ".join(
+        f"SELECT '{p}' AS profile, '{c}' AS feature, TRUE AS agrees"
+        for p, inputs in (("full", FEATURES), ("lite", LITE_INPUTS)) for c in inputs + ["zone"]),
+    "forecast_from_nodes": "SELECT CAST(range AS INTEGER) AS hour, TRUE AS agrees FROM range(24)",
+}

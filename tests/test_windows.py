@@ -75,6 +75,41 @@ def test_bucket_numbers_follow_the_order(shapes, shape):
     assert rows.withColumn("p", F.lag(BUCKET).over(order)).filter(F.col("p") > F.col(BUCKET)).count() == 0
 
 
+TWO_LEVELS = ["even", "hot timestamp", "missing timestamps", "no timestamps", "one timestamp", "one row", "empty"]
+
+
+@pytest.mark.parametrize("shape", TWO_LEVELS)
+def test_cuts_of_two_levels(shapes, shape):
+    """More buckets than the driver has cuts for: equal results, buckets in order, none of them hot."""
+    df = shapes[shape]
+    buckets = fit_order_buckets(df, buckets=40, coarse=5)
+    assert len(buckets.time_cuts) + len(buckets.fine_cuts) <= 20
+    assert (buckets.table is None) == (shape == "empty")
+    plain = Window.partitionBy("zone").orderBy("datetime", "reading_id")
+    expected = df.withColumns({n: make(plain) for n, make in COLUMNS.items()})
+    got = windowed(df, COLUMNS, buckets, ["zone"], back=3, uses=["pm25", "pm10"])
+    assert got.columns == expected.columns and got.count() == expected.count()
+    assert got.exceptAll(expected).count() == 0
+    rows = buckets.assign(df)
+    order = Window.partitionBy(F.lit(0)).orderBy("datetime", "reading_id")
+    assert rows.withColumn("p", F.lag(BUCKET).over(order)).filter(F.col("p") > F.col(BUCKET)).count() == 0
+    if df.count() > 1:
+        sizes = rows.groupBy(BUCKET).count().agg(F.max("count"), F.count("*")).first()
+        assert sizes[0] <= 4 * df.count() / 40 and 20 <= sizes[1] <= 160
+        found = numbered(df, buckets, "n", 100, 140).select("reading_id", "n")
+        whole = df.withColumn("n", F.row_number().over(order)).filter("n BETWEEN 100 AND 140")
+        assert sorted(found.collect()) == sorted(whole.select("reading_id", "n").collect())
+
+
+def test_many_hourly_rows_of_two_levels(spark):
+    """Many rows per timestamp, as of many stations: buckets within one timestamp are cut by the tie-breaker."""
+    hour = F.to_timestamp_ntz(F.lit("2024-03-01 00:00:00")) + F.make_dt_interval(F.lit(0), F.floor(F.col("id") / 5000))
+    df = spark.range(40_000).select(F.col("id").alias("reading_id"), hour.alias("datetime"))
+    buckets = fit_order_buckets(df, buckets=100, coarse=4)
+    sizes = buckets.assign(df).groupBy(BUCKET).count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] <= 1600 and sizes[1] >= 60
+
+
 def test_cuts_of_one_frame_serve_another(shapes):
     """Cuts fitted on a small part still give exact results on the whole."""
     df = shapes["hot timestamp"]
