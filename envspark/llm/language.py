@@ -16,16 +16,21 @@ about 0.5. A piece is claimed if its h is at least `LEAST_FIT` and either its tw
 `LEAST_GAP` apart or the landmarks span `LEAST_NORM` of its squared norm, as they do for
 a mixture of their languages. A text is claimed if at least half of its pieces with letters are.
 
-Learned from a bounded sample, one piece from the middle of each document: per language the `PER_LANGUAGE` documents of least id hash among
-those with a label whose crc32(id as text) mod `FOLDS` is not 0; `LANDMARKS` of them are landmarks.
+Learned from a bounded sample of rows, each with its whole text: per language the documents of least hash of
+id and text among those with a label whose crc32(id as text) mod `FOLDS` is not 0, `PER_LANGUAGE` of them, or fewer
+where `SAMPLE` rows would be exceeded in all. A document's row of kernel values is the mean over its pieces, which
+is what scoring averages too. A landmark is one piece with letters, drawn by the text's hash.
 
 Cases: a null text and one without letters are `und` with score 0, as is everything where
-there is nothing to learn from; a null id is not held out and not learned from; ties
-go to the first language in order; repeated rows get equal results; other columns pass through.
+there is nothing to learn from; more than `MAX_LANGUAGES` labels are refused; a null id is not held out and not
+learned from; rows that repeat an id are rows of their own; ties go to the first language in order; repeated rows
+get equal results; a very long text is judged by all its pieces, a megabyte at a time; an empty table gives no rows;
+other columns pass through.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -35,14 +40,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from envspark.llm.common import LOWER, fresh, mapped, slices, texts_of
+from envspark.llm.common import LOWER, fresh, mapped, slices, stash, texts_of
 
 UNKNOWN = "und"
 #: places of the hashed n-grams by n
 SIZES = {1: 256, 2: 2048, 3: 8192}
 WIDTH = sum(SIZES.values())
 PER_LANGUAGE, LANDMARKS, RIDGE = 400, 192, 0.05
+#: labels that are learned at most, rows that are learned from in all, and landmarks per label at least
+MAX_LANGUAGES, SAMPLE, LANDMARKS_EACH = 256, 40_000, 4
 FOLDS = 5
+#: parts of the range of hashes that are counted before rows are ranked
+SHARES = 4096
 PIECE = 2048
 # set on rows of the learned folds, judged by fits without them, against unlearned languages and random letters
 LEAST_FIT, LEAST_GAP, LEAST_NORM = 0.5, 0.5, 0.5
@@ -51,6 +60,7 @@ ROW_BYTES = 4096
 
 #: bytes of letters, lower-cased; all other bytes are a gap
 _FOLD = np.where((LOWER >= 97) & (LOWER <= 122) | (LOWER >= 128), LOWER, 32).astype(np.uint8)
+_FOLD_TABLE = _FOLD.tobytes()
 
 
 def presence(texts: Sequence[bytes]) -> np.ndarray:
@@ -123,11 +133,6 @@ def has_letters(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def middle(text: bytes) -> bytes:
-    start = max(0, len(text) - PIECE) // 2
-    return text[start:start + PIECE]
-
-
 def pieces(text: bytes) -> list[bytes]:
     """The whole text in equal pieces."""
     count = max(1, -(-len(text) // PIECE))
@@ -135,12 +140,39 @@ def pieces(text: bytes) -> list[bytes]:
     return [text[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
+def drawn(text: bytes) -> bytes:
+    """One of the pieces with letters, by the text's hash."""
+    parts = pieces(text)
+    lettered = [p for p in parts if p.translate(_FOLD_TABLE).strip()] or parts
+    return lettered[zlib.crc32(text) % len(lettered)]
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The presence bits of a drawn piece of each text."""
     for batch in batches:
-        texts, bits = [middle(t) for t in texts_of(batch.column(1))], []
+        texts, bits = [drawn(t) for t in texts_of(batch.column(2))], []
         for low, high in slices([len(t) + ROW_BYTES for t in texts]):
             bits += [r.tobytes() for r in np.packbits(presence(texts[low:high]), axis=1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], names=["lang", "bits"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.binary())], names=["lang", "n", "bits"])
+
+
+def kernel_means(texts: Sequence[bytes], landmarks: np.ndarray) -> np.ndarray:
+    """The kernel values of each text with the landmarks, the mean over its pieces."""
+    out = np.zeros((len(texts), len(landmarks)), dtype=np.float32)
+    for row, text in zip(out, texts):
+        parts = pieces(text)
+        for low, high in slices([len(p) + ROW_BYTES for p in parts]):
+            row += (scaled(presence(parts[low:high])) @ landmarks.T).sum(axis=0)
+        row /= len(parts)
+    return out
+
+
+def _cuts(named: DataFrame, per_language: int) -> DataFrame:
+    """(lang, cut): the least part of the range of hashes up to which each language has its rows, or all of them."""
+    sizes = named.groupBy("lang", "part").agg(F.count("*").alias("n"))  # at most `SHARES` rows a language
+    upto = Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    return before.filter(F.col("before") < per_language).groupBy("lang").agg(F.max("part").alias("cut"))
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang",
@@ -148,34 +180,54 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     """Fit on the bounded sample; None if no document can be learned from."""
     body, id_ = F.col(f"`{text}`"), F.col(f"`{key}`")
     usable = docs.filter(F.col(f"`{label}`").isNotNull() & id_.isNotNull() & ~held_out(id_) & has_letters(body))
-    spread = F.shiftrightunsigned(F.xxhash64(id_.cast("string")), 11) / float(1 << 53)
-    named = usable.select(F.col(f"`{label}`").cast("string").alias("lang"), spread.alias("spread"),
-                          F.xxhash64(body).alias("body"), body.alias("text"))
-    # the rows of least hash lie below a small share of its range; only these are shuffled and ranked
-    share = named.groupBy("lang").agg((8.0 * per_language / F.count("*")).alias("share"))
-    near = named.join(F.broadcast(share), "lang").filter("spread < share")  # one row per language
-    first = Window.partitionBy("lang").orderBy("spread", "body")
-    chosen = (near.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_language)
-              .select("lang", "text"))
-    rows = sorted((r.lang, bytes(r.bits)) for r in chosen.mapInArrow(_packed, "lang string, bits binary").collect())
-    if not rows:
+    named = usable.select(F.col(f"`{label}`").cast("string").alias("lang"), F.xxhash64(id_.cast("string"), body).alias("spread"),
+                          body.alias("text")).withColumn("part", F.shiftrightunsigned("spread", 52))
+    cuts = stash(_cuts(named, per_language))
+    languages = tuple(sorted(r.lang for r in cuts.select("lang").limit(MAX_LANGUAGES + 1).collect()))
+    if not languages:
         return None
-    languages = tuple(sorted({lang for lang, _ in rows}))
-    packed = np.frombuffer(b"".join(bits for _, bits in rows), dtype=np.uint8).reshape(len(rows), -1)
-    own = np.array([languages.index(lang) for lang, _ in rows])
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"column {label!r} has more than {MAX_LANGUAGES} labels to learn")
+    each = max(1, min(per_language, SAMPLE // len(languages)))
+    landmarks = max(landmarks, LANDMARKS_EACH * len(languages))
+
+    # rows above the cuts cannot be among the first; Spark limits the others per task before it ranks them
+    near = named.join(F.broadcast(cuts), "lang").filter("part <= cut")  # one row per language
+    first = Window.partitionBy("lang").orderBy("part", "spread", "text")
+    chosen = stash(near.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= each).select("lang", "n", "text"))
+    bits = chosen.mapInArrow(_packed, "lang string, n int, bits binary")
     # landmarks in turn from each language
-    turn = np.array([np.count_nonzero(own[:i] == own[i]) for i in range(len(own))])
-    marks = packed[np.lexsort((own, turn))[:landmarks]]
-    base = scaled(np.unpackbits(marks, axis=1, count=WIDTH).astype(bool)).astype(np.float64)
+    marks = np.stack([np.frombuffer(r.bits, dtype=np.uint8) for r in bits.orderBy("n", "lang").limit(landmarks).collect()])
+    base = scaled(np.unpackbits(marks, axis=1, count=WIDTH).astype(bool))
+    sent = docs.sparkSession.sparkContext.broadcast(marks)
+
+    def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = scaled(np.unpackbits(sent.value, axis=1, count=WIDTH).astype(bool))
+        for batch in batches:
+            rows = [r.tobytes() for r in kernel_means(list(texts_of(batch.column(2))), own)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], names=["lang", "n", "row"])
+
+    rows = sorted(chosen.mapInArrow(means, "lang string, n int, row binary").collect(), key=lambda r: (r.lang, r.n))
+    kernel = np.stack([np.frombuffer(r.row, dtype=np.float32) for r in rows]).astype(np.float64)
+    own = np.array([languages.index(r.lang) for r in rows])
+    weights, root = solved(base.astype(np.float64), kernel, own, len(languages))
+    return Model(languages, marks, weights.astype(np.float32), root.astype(np.float32))
+
+
+def solved(base: np.ndarray, kernel: np.ndarray, own: np.ndarray, languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ridge regression per language, and of the constant 1, on the directions that the landmarks span.
+
+    `base` has the scaled landmarks, `kernel` the rows' kernel values with them, `own` the rows' languages.
+    """
     values, vectors = np.linalg.eigh(base @ base.T)
     keep = values > 1e-8 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    points = scaled(np.unpackbits(packed, axis=1, count=WIDTH).astype(bool)).astype(np.float64) @ base.T @ root
+    points = kernel @ root
     share = (1.0 / np.bincount(own))[own][:, None]  # each language weighs the same
-    target = np.column_stack([np.where(own[:, None] == np.arange(len(languages)), 1.0, -1.0), np.ones(len(own))])
-    solved = np.linalg.solve(points.T @ (points * share) + RIDGE / len(rows) * np.eye(points.shape[1]),
-                             points.T @ (target * share))
-    return Model(languages, marks, (root @ solved).astype(np.float32), root.astype(np.float32))
+    target = np.column_stack([np.where(own[:, None] == np.arange(languages), 1.0, -1.0), np.ones(len(own))])
+    weights = np.linalg.solve(points.T @ (points * share) + RIDGE / len(own) * np.eye(points.shape[1]),
+                              points.T @ (target * share))
+    return root @ weights, root
 
 
 def identified(docs: DataFrame, model: Model | None, text: str = "text") -> tuple[DataFrame, str, str]:
