@@ -4,17 +4,22 @@ A window is `window` consecutive words of a benchmark item; an item of fewer wor
 but not none, is one window. Windows of equal length form a matcher: a shift table
 over blocks of words skips positions where no window can end, buckets by the last
 block select the windows that may end here, and comparing the words confirms them.
-Item texts travel to the executors in blocks of bounded size; each further block is
-one more scan over the stored state of the scan before, so any number of items works.
+Item texts travel to the executors in blocks of a bounded number of words; each further block is
+one more scan over the stored state of the scan before, so any number of items works. A worker process
+builds the tables of a block once. Words are numbers there, and a window is a place in its item, so that a
+word of an item costs a few hundred bytes.
 
 Cases: a null or empty text has no words and no hits; a null or empty item has no
 windows; an item without id marks words but is not listed; rows of one item_id count as
-one item; repeated rows are judged each; an empty benchmark hits nothing. Other
-columns of the documents pass through, whatever their names.
+one item; repeated rows are judged each; an empty benchmark hits nothing; windows that several items have
+name all of them; a very long text is searched whole, its words held at once; an empty table gives no
+rows. Other columns of the documents pass through, whatever their names.
 """
 
 from __future__ import annotations
 
+import uuid
+from array import array
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -24,8 +29,8 @@ from pyspark.sql import functions as F
 from envspark.llm.common import fresh, mapped, stash, texts_of
 
 WINDOW = 10
-# bytes of item texts that are sent to executors at once
-BLOCK_BYTES = 32 << 20
+# words of item texts that are sent to executors at once, and bytes for items of few words
+BLOCK_TOKENS, BLOCK_BYTES = 1_000_000, 32 << 20
 # words in a block of the shift table
 BLOCK_WORDS = 2
 
@@ -39,46 +44,88 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Matcher:
-    """Windows of one length, with the tables of the search."""
+    """Windows of one length over items of numbered words, with the tables of the search."""
 
-    def __init__(self, length: int, windows: dict[tuple[bytes, ...], set[int]]):
-        self.length, self.block = length, min(BLOCK_WORDS, length)
+    def __init__(self, length: int, items: Sequence[array], base: int):
+        self.length, self.block, self.base, self.items = length, min(BLOCK_WORDS, length), base, items
         self.farthest = length - self.block + 1
-        self.shift: dict[tuple[bytes, ...], int] = {}
-        self.buckets: dict[tuple[bytes, ...], dict[bytes, list[tuple[list[bytes], set[int]]]]] = {}
-        for words, items in windows.items():
-            for end in range(self.block, length + 1):
-                key = words[end - self.block:end]
-                self.shift[key] = min(self.shift.get(key, self.farthest), length - end)
-            bucket = self.buckets.setdefault(words[length - self.block:], {})
-            bucket.setdefault(words[0], []).append((list(words), items))
-
-    def search(self, words: list[bytes]) -> Iterator[tuple[int, set[int]]]:
-        """Where windows begin, in ascending order, and the items that have them."""
-        length, block, shift, farthest = self.length, self.block, self.shift, self.farthest
-        end, n = length, len(words)
+        self.shift: dict[int, int] = {}
+        #: different windows by last block and hash of the words, as the place (item, start) of one of them
+        self.buckets: dict[int, int] = {}
+        #: further items that have the window of a place
+        self.others: dict[int, list[int]] = {}
+        for number, words in enumerate(items):
+            for end in range(length, len(words) + 1):
+                self._add(number, words, end)
+
+    def _add(self, number: int, words: array, end: int) -> None:
+        length, shift = self.length, self.shift
+        for back in range(self.farthest):
+            key = self._block(words, end - back)
+            if shift.get(key, self.farthest) > back:
+                shift[key] = back
+        window = words[end - length:end]
+        bucket, place = self._find(self._block(words, end), window)
+        if place is None:
+            self.buckets[bucket] = number << 32 | end - length
+        elif place >> 32 != number:
+            owners = self.others.setdefault(place, [])
+            if not owners or owners[-1] != number:
+                owners.append(number)
+
+    def _block(self, words: array, end: int) -> int:
+        """The one or two words that end at a place, as one number."""
+        return words[end - 1] if self.block == 1 else words[end - 2] * self.base + words[end - 1]
+
+    def _find(self, block: int, window: array) -> tuple[int, int | None]:
+        """The bucket of a window and, if it is known, its place: words are compared, hashes only select."""
+        bucket = hash((block, window.tobytes()))
+        while (place := self.buckets.get(bucket)) is not None:
+            start = place & 0xFFFFFFFF
+            if self.items[place >> 32][start:start + self.length] == window:
+                return bucket, place
+            bucket += 1
+        return bucket, None
+
+    def search(self, words: array) -> Iterator[tuple[int, list[int]]]:
+        """Where windows begin, in ascending order, and the items that have them. Words of no item are 0."""
+        end, n = self.length, len(words)
         while end <= n:
-            key = tuple(words[end - block:end])
-            step = shift.get(key, farthest)
-            if step:
-                end += step
-                continue
-            start = end - length
-            for pattern, items in self.buckets[key].get(words[start], ()):
-                if words[start:end] == pattern:
-                    yield start, items
-            end += 1
-
-
-def matchers(texts: Sequence[bytes], window: int = WINDOW) -> list[Matcher]:
-    """Search tables for the windows of all texts; items go by their place in `texts`."""
-    by_length: dict[int, dict[tuple[bytes, ...], set[int]]] = {}
-    for i, text in enumerate(texts):
-        words = words_of(text)
-        length = min(window, len(words))
-        for start in range(len(words) - length + 1 if length else 0):
-            by_length.setdefault(length, {}).setdefault(tuple(words[start:start + length]), set()).add(i)
-    return [Matcher(length, windows) for length, windows in sorted(by_length.items())]
+            block = self._block(words, end)
+            step = self.shift.get(block, self.farthest)
+            if not step:
+                _, place = self._find(block, words[end - self.length:end])
+                if place is not None:
+                    yield end - self.length, [place >> 32, *self.others.get(place, ())]
+            end += step or 1
+
+
+class Search:
+    """The matchers of a block of items, one per length of window."""
+
+    def __init__(self, texts: Sequence[bytes], window: int = WINDOW):
+        self.numbers: dict[bytes, int] = {}
+        numbers = self.numbers
+        items = [array("q", [numbers.setdefault(w, len(numbers) + 1) for w in words_of(t)]) for t in texts]
+        lengths = sorted({min(window, len(words)) for words in items} - {0})
+        # an item has windows of its own length only
+        self.matchers = [Matcher(length, [i if min(window, len(i)) == length else array("q") for i in items], len(numbers) + 1)
+                         for length in lengths]
+
+    def numbered(self, words: list[bytes]) -> array:
+        return array("q", [self.numbers.get(w, 0) for w in words])
+
+
+_searches: dict[str, tuple[list[str | None], Search]] = {}
+
+
+def search_of(name: str, block, window: int) -> tuple[list[str | None], Search]:
+    """The ids and the search of a block, built once per worker process; one block is kept."""
+    if name not in _searches:
+        _searches.clear()
+        items = block()
+        _searches[name] = [i for i, _ in items], Search([t for _, t in items], window)
+    return _searches[name]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[int]:
@@ -93,21 +140,23 @@ def merged(spans: list[tuple[int, int]]) -> list[int]:
 
 
 def _item_blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[list[tuple[str | None, bytes]]]:
-    """Items in blocks of about `limit` bytes; a block is the most that the driver holds."""
+    """Items in blocks of about `limit` words; a block is the most that the driver holds."""
     block, size = [], 0
     rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).cast("binary").alias("t"))
     for row in rows.filter("t IS NOT NULL").toLocalIterator():
-        if block and size + len(row.t) > limit:
+        # a word of an item costs as much as so many bytes of its text
+        cost = max(len(words_of(bytes(row.t))), len(row.t) * BLOCK_TOKENS // BLOCK_BYTES)
+        if block and size + cost > limit:
             yield block
             block, size = [], 0
         block.append((row.i, bytes(row.t)))
-        size += len(row.t)
+        size += cost
     yield block
 
 
 def find_windows(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
                  item_text: str = "text", window: int = WINDOW, prefix: str = "hit",
-                 block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, dict[str, str]]:
+                 block_words: int = BLOCK_TOKENS) -> tuple[DataFrame, dict[str, str]]:
     """Add to each document its number of words, the spans of words inside windows and the items found.
 
     Returns the frame and the names of the added columns by `words`, `spans`
@@ -120,25 +169,24 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     place = {k: state.columns.index(v) for k, v in names.items()}
     at = docs.columns.index(text)
     spark = docs.sparkSession
-    for number, block in enumerate(_item_blocks(benchmark, item, item_text, block_bytes)):
+    for number, block in enumerate(_item_blocks(benchmark, item, item_text, block_words)):
         if number:
             state = stash(state)
         sent = spark.sparkContext.broadcast(block)
-        state = mapped(state, _scanner(sent, at, place, window))
+        state = mapped(state, _scanner(sent, uuid.uuid4().hex, at, place, window))
     return state, names
 
 
-def _scanner(sent, at: int, place: dict[str, int], window: int):
+def _scanner(sent, name: str, at: int, place: dict[str, int], window: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = [i for i, _ in sent.value]
-        search = matchers([t for _, t in sent.value], window)
+        ids, search = search_of(name, lambda: sent.value, window)
         for batch in batches:
             counts, spans, found = [], [], []
             old = zip(batch.column(place["spans"]).to_pylist(), batch.column(place["items"]).to_pylist())
             for body, (had, items) in zip(texts_of(batch.column(at)), old):
-                words = words_of(body)
+                words = search.numbered(words_of(body))
                 hits, seen = list(zip(had[::2], had[1::2])), set(items)
-                for matcher in search:
+                for matcher in search.matchers:
                     for start, owners in matcher.search(words):
                         hits.append((start, start + matcher.length))
                         seen.update(ids[o] for o in owners)
