@@ -45,6 +45,95 @@ def test_language_learns_from_the_other_folds_only(spark):
     assert language.fit(mixed).languages == ("de", "en")
 
 
+SPOKEN = {
+    "en": "the quick fox and the lazy dog were seen with that old man in the house of his father again",
+    "de": "der schnelle fuchs und der faule hund wurden mit dem alten mann im haus seines vaters nicht gesehen",
+    "fr": "le renard rapide et le chien paresseux ont encore été vus avec cet homme dans la maison de son père",
+}
+
+
+def spoken(lang, seed, n):
+    draw = random.Random(f"{lang} {seed}")
+    return " ".join(draw.choice(SPOKEN[lang].split()) for _ in range(n))
+
+
+def test_language_is_learned_whatever_the_ids(spark):
+    one = [row(11, spoken("fr", i, 12), "fr") for i in range(1500)] + [row(40 + i, spoken("en", i, 12), "en") for i in range(300)]
+    few = [row((3, 7, 50)[i % 3], spoken(lang, i, 12), lang) for lang in ("de", "en", "fr") for i in range(700)]
+    same = [row(11, spoken("fr", 0, 12), "fr")] * 900 + [row(40 + i, spoken("en", i, 12), "en") for i in range(300)]
+    for rows, languages in ((one, ("en", "fr")), (few, ("de", "en", "fr")), (same, ("en", "fr"))):
+        docs = frame(spark, rows)
+        learned = docs.filter(~language.held_out(docs.doc_id)).select("lang").distinct().count()
+        assert learned == len(languages)
+        model = language.fit(docs)
+        assert model.languages == languages
+        found, name, _ = language.identified(docs, model)
+        wrong = found.filter(f"{name} != lang").count()
+        assert wrong <= 0.02 * len(rows)
+
+
+def test_too_many_languages_are_refused(spark):
+    rows = [row(i, f"word {i}", f"l{i % 400}") for i in range(2000)]
+    with pytest.raises(ValueError, match="labels"):
+        language.fit(frame(spark, rows))
+    many = [row(i, f"{spoken('en', i % 200, 5)} tag{i % 200}x tag{i % 200}y", f"l{i % 200}") for i in range(2000)]
+    model = language.fit(frame(spark, many))
+    assert len(model.languages) == 200 and len(model.landmarks) == 800
+
+
+def test_whole_texts_are_learned_from(spark):
+    """The language stands at both ends only; the middle of every text is the same."""
+    rows = []
+    for i in range(400):
+        lang = ("en", "de")[i % 2]
+        rows.append(row(i, f"{spoken(lang, i, 300)} {'zzz ' * 800} {spoken(lang, i + 1000, 300)}", lang))
+    docs = frame(spark, rows)
+    found, name, _ = language.identified(docs, language.fit(docs))
+    assert found.filter(f"{name} != lang").count() == 0
+
+
+def test_fit_equals_a_plain_kernel_ridge(spark):
+    """Exact kernel matrices and one landmark per learned text: the same labels and nearly the same scores."""
+    import numpy as np
+
+    rows = [row(i, spoken(lang, i, 8), lang) for i, lang in enumerate(["en", "de", "fr"] * 67)]
+    docs = frame(spark, rows)
+    learned = [r for r in docs.filter(~language.held_out(docs.doc_id)).collect()]
+    found, name, score = language.identified(docs, language.fit(docs, landmarks=len(learned)))
+
+    def grams(text):
+        whole = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + "   "
+        raw = whole.encode()
+        out = {}
+        for n, size in language.SIZES.items():
+            held = set()
+            for i in range(len(raw) - 3):
+                gram = raw[i:i + n]
+                if n == 1 and gram == b" ":
+                    continue
+                code = int.from_bytes(gram, "little") * 0x9E3779B1 % 2 ** 32
+                held.add(code >> (32 - size.bit_length() + 1))
+            out[n] = held
+        return out
+
+    def kernel(a, b):
+        return sum(len(a[n] & b[n]) / max(1, len(a[n]) * len(b[n])) ** 0.5 for n in language.SIZES) / len(language.SIZES)
+
+    languages = sorted(SPOKEN)
+    known = [grams(r.text) for r in learned]
+    matrix = np.array([[kernel(a, b) for b in known] for a in known])
+    count = {x: sum(r.lang == x for r in learned) for x in languages}
+    share = np.diag([1 / count[r.lang] for r in learned])
+    target = np.array([[1.0 if r.lang == x else -1.0 for x in languages] for r in learned])
+    # ridge in the space of the kernel: (S K + ridge / n) alpha = S Y
+    alpha = np.linalg.solve(share @ matrix + language.RIDGE / len(learned) * np.eye(len(learned)), share @ target)
+    for r in found.collect():
+        own = grams(r.text)
+        margins = np.array([kernel(own, b) for b in known]) @ alpha
+        assert r[name] == languages[int(margins.argmax())]
+        assert r[score] == pytest.approx(min(1, max(0, (margins.max() + 1) / 2)), abs=0.01)
+
+
 def test_presence_kernel():
     import numpy as np
 
@@ -104,13 +193,32 @@ def tokenizer():
 
 
 def test_token_counts_equal_the_tokenizer(spark, tokenizer):
-    rows = [r for r in odd_rows() if r[0] != 12] + [row(700, "<s> <unk> <0x0A> ▁▁ a▁b  "), row(701, " "), row(702, "  lead")]
+    rows = odd_rows() + [row(700, "<s> <unk> <0x0A> ▁▁ a▁b  "), row(701, " "), row(702, "  lead")]
     got = token_counts.counted(frame(spark, rows), vocabulary("piece_bpe_32k.model")).collect()
     assert sorted((str(r.doc_id), r.n_tokens) for r in got) == sorted(
         (str(r[0]), len(tokenizer.encode(r[1] or "").ids)) for r in rows)
     assert token_counts.counted(frame(spark, []), vocabulary("piece_bpe_32k.model")).collect() == []
 
 
+def test_long_runs_without_blanks(tokenizer):
+    """A part is counted through a window of scores; the memory of parts does not keep it."""
+    draw = random.Random(8)
+    counter = token_counts.Counter(token_counts.vocabulary(vocabulary("piece_bpe_32k.model")))
+    text = "".join(draw.choice("abcdefgh日é") for _ in range(30_000))
+    assert counter.count(text)[0] == len(tokenizer.encode(text).ids)
+    counter.count(text * 35)  # a million characters
+    assert counter.known.size < 1000 and not counter.known.young
+
+
+def test_memory_of_parts_is_bounded():
+    memory = token_counts.Memory(limit=200_000)
+    for i in range(5000):
+        memory.keep(f"part{i}", (i, 0.0))
+        assert memory.get("part0") == (0, 0.0)  # asked for all the time, it stays
+    assert len(memory.young) + len(memory.old) < 200_000 // token_counts.ENTRY_BYTES
+    assert memory.get("part10") is None and memory.get("part4999") == (4999, 0.0)
+
+
 def test_token_counts_with_ties():
     from tokenizers import Tokenizer, models
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from itertools import combinations
 
@@ -115,30 +116,72 @@ def item_rows():
 def plain_hits(rows, items, window=10):
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+",
                                re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    owners = {}
+    for item, text in items:
+        w = cut(text)
+        n = min(window, len(w))
+        for i in range(len(w) - n + 1 if n else 0):
+            owners.setdefault(n, {}).setdefault(tuple(w[i:i + n]), set()).add(item)
     out = []
     for r in rows:
         parts, hit, found = cut(r[1]), set(), set()
-        for item, text in items:
-            w = cut(text)
-            n = min(window, len(w))
-            for i in range(len(w) - n + 1 if n else 0):
-                for s in range(len(parts) - n + 1):
-                    if parts[s:s + n] == w[i:i + n]:
-                        hit.update(range(s, s + n))
-                        found.add(item)
+        for n, known in owners.items():
+            for s in range(len(parts) - n + 1):
+                of = known.get(tuple(parts[s:s + n]))
+                if of:
+                    hit.update(range(s, s + n))
+                    found |= of
         names = sorted(str(f) for f in found if f is not None)
         out.append((r[0], len(parts), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)))
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
-def test_decontamination(spark, block_bytes):
-    rows = [r for r in odd_rows() if r[0] != 12] + [row(300, "x " + words(4000, 12) + " y"), row(301, words(4000, 9))]
+@pytest.mark.parametrize("block_words", [1_000_000, 8])
+def test_decontamination(spark, block_words):
+    rows = odd_rows() + [row(300, "x " + words(4000, 12) + " y"), row(301, words(4000, 9))]
     items = spark.createDataFrame(item_rows(), "item_id long, text string")
-    got = decontaminate.hits(frame(spark, rows), items, block_bytes=block_bytes).drop("items", "spans").collect()
+    got = decontaminate.hits(frame(spark, rows), items, block_words=block_words).drop("items", "spans").collect()
     assert as_counts(got) == as_counts(plain_hits(rows, item_rows()))
 
 
+def test_search_of_repeated_and_overlapping_windows(spark):
+    """Few different words, so that windows repeat within and between items and share their last blocks."""
+    draw = random.Random(6)
+    text = lambda n: " ".join(draw.choice("abc") for _ in range(n))
+    items = [(i, text(draw.randrange(1, 40))) for i in range(40)] + [(40, "a b c " * 30), (41, "a b c " * 30)]
+    rows = [row(i, text(draw.randrange(0, 300))) for i in range(60)] + [row(70, "a b c " * 50)]
+    for window in (1, 2, 3, 10):
+        given = spark.createDataFrame(items, "item_id long, text string")
+        got = decontaminate.hits(frame(spark, rows), given, window=window).drop("items", "spans").collect()
+        assert as_counts(got) == as_counts(plain_hits(rows, items, window))
+
+
+def test_tables_of_many_items_stay_small():
+    """5 MB of items within a worker's share of memory, measured in a process of its own."""
+    import subprocess
+    import sys
+
+    code = """
+import random, resource
+from envspark.llm import decontaminate
+draw = random.Random(1)
+items = [" ".join(f"w{draw.randrange(60000)}" for _ in range(100)).encode() for _ in range(7500)]
+assert sum(map(len, items)) > 4_900_000 and 100 * len(items) < decontaminate.BLOCK_TOKENS
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+decontaminate.Search(items)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    grown = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert grown < 600, grown
+
+
+def test_a_search_is_built_once_per_process():
+    built = []
+    for _ in range(3):
+        decontaminate.search_of("one block", lambda: built.append(1) or [("a", b"x y")], 10)
+    assert built == [1]
+
+
 def test_decontamination_keeps_columns_and_clean_documents(spark):
     docs = frame(spark, odd_rows())
     items = spark.createDataFrame(item_rows(), "item_id long, text string")
