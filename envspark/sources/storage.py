@@ -28,10 +28,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str = "table") -> str:
     """A new path in the shared folder, removed when the application ends."""
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return path
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return f"{folder}/data"
 
 
 def written(df: DataFrame, name: str = "table") -> DataFrame:
