@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from pathlib import Path
 
@@ -14,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from envspark.sources.storage import written
+
 # bytes of text that one vectorized step handles; bounds the temporaries of a Python worker
 STEP_BYTES = 1 << 20
 
@@ -32,28 +33,12 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`.
+def stash(df: DataFrame) -> DataFrame:
+    """Write a table into the shared folder and read it back, so that a lost executor costs no recomputation.
 
-    Where it is unset, a local session takes a temporary folder and a cluster its
-    warehouse, which is shared as well.
+    The folder is `spark.checkpoint.dir`; the table is removed when the application ends.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        own = tempfile.mkdtemp(prefix="stash-")
-        spark.conf.set("spark.checkpoint.dir", own)
-        return own
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stash"
-
-
-def stash(df: DataFrame) -> DataFrame:
-    """Write a table into the shared folder and read it back, so that a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, "stash")
 
 
 def fresh(df: DataFrame, name: str) -> str:
