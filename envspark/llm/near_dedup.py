@@ -14,11 +14,12 @@
    out, since they cannot change it.
 
 Components come from edge contraction, a few joins on hashed ids. A node id is a
-64-bit hash of the whole set.
+64-bit hash of the whole set; 64 further bits tell sets of one id apart, which then get ids of their own.
 
 Cases: a text without words, or null, has an empty set and is linked with nothing;
 fewer words than a shingle make one shingle of all; repeated rows are judged each, and
-equal ones get equal results; a null id is never the smallest. Other columns are ignored
+equal ones get equal results; a null id is never the smallest; a similarity of exactly the threshold is a link;
+a very long text is one set, held by one task; an empty table gives no rows. Ids are whole numbers. Other columns are ignored
 by `components` and passed through by `without_near_duplicates`.
 """
 
@@ -94,25 +95,30 @@ def signature(values: np.ndarray, hashes: int) -> bytes:
     return least.astype(np.uint16).tobytes()
 
 
-def _features(size: int, hashes: int, text_at: int):
+def _features(size: int, hashes: int, text_at: int, node_bits: int = 64):
+    half = 1 << (node_bits - 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = list(texts_of(batch.column(text_at)))
-            counts, nodes, signs = [], [], []
+            counts, nodes, checks, signs = [], [], [], []
             for low, high in slices([len(t) for t in texts]):
                 for values in shingle_sets(texts[low:high], size):
                     counts.append(len(values))
                     if len(values):
-                        nodes.append(int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(),
-                                                    "little", signed=True))
+                        digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+                        nodes.append(int.from_bytes(digest[:8], "little") % (2 * half) - half)
+                        checks.append(int.from_bytes(digest[8:], "little", signed=True))
                         signs.append(signature(values, hashes))
                     else:
                         nodes.append(None)
+                        checks.append(None)
                         signs.append(None)
             kept = [batch.column(i) for i in range(batch.num_columns) if i != text_at]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()), pa.array(signs, pa.binary())],
-                names=[*(n for i, n in enumerate(batch.schema.names) if i != text_at), "n_shingles", "node", "sign"])
+                [*kept, pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()), pa.array(checks, pa.int64()),
+                 pa.array(signs, pa.binary())],
+                names=[*(n for i, n in enumerate(batch.schema.names) if i != text_at), "n_shingles", "node", "check", "sign"])
     return run
 
 
@@ -181,8 +187,23 @@ def _pairs_checked(pairs: DataFrame, nodes: DataFrame, steps, texts: DataFrame,
     return stash(with_both(likely, texts, "text").mapInArrow(_similar(size, percent), "a long, b long"))
 
 
+def _nodes_of(feats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents and the nodes, one per different set. Sets that share a node id, which hardly ever
+    happens, but for the one of least check get a new id of id and check."""
+    while True:
+        nodes = stash(feats.filter("node IS NOT NULL").groupBy("node").agg(
+            F.first("sign").alias("sign"), F.min(F.struct("id", "body")).alias("holder"),
+            F.min("check").alias("least"), F.max("check").alias("most")))
+        shared = nodes.filter("least <> most").select("node", "least")
+        if shared.isEmpty():
+            return feats, nodes.select("node", "sign", "holder")
+        own = F.coalesce(F.col("check") == F.col("least"), F.lit(True))
+        feats = stash(feats.join(shared, "node", "left").withColumn(
+            "node", F.when(own, F.col("node")).otherwise(F.xxhash64("node", "check"))).select(*feats.columns))
+
+
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS,
-               threshold_percent: int = round(100 * THRESHOLD), miss: float = MISS) -> DataFrame:
+               threshold_percent: int = round(100 * THRESHOLD), miss: float = MISS, node_bits: int = 64) -> DataFrame:
     """One row per document: `key`, body (hash of its text), n_shingles, component_id, kept."""
     threshold = threshold_percent / 100
     bands = bands_for(threshold, miss)
@@ -190,11 +211,8 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle
     steps = least_matches(threshold, hashes, miss)
     keyed = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("body"),
                         F.col(f"`{text}`").alias("text"))
-    feats = stash(keyed.mapInArrow(_features(shingle, hashes, 2),
-                                   "id long, body long, n_shingles long, node long, sign binary"))
-
-    nodes = stash(feats.filter("node IS NOT NULL").groupBy("node").agg(
-        F.first("sign").alias("sign"), F.min(F.struct("id", "body")).alias("holder")))
+    feats, nodes = _nodes_of(stash(keyed.mapInArrow(
+        _features(shingle, hashes, 2, node_bits), "id long, body long, n_shingles long, node long, check long, sign binary")))
     band = F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band")
     width = 2 * ROWS
     members = nodes.select("node", "sign", band).select(

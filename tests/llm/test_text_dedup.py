@@ -89,6 +89,13 @@ def test_near_duplicates(spark, size, percent):
         plain_components(rows, size, percent))
 
 
+def test_sets_that_share_a_node_id_are_told_apart(spark):
+    """With ids of three bits nearly all sets share one."""
+    rows = odd_rows() + [row(1000 + i, edited(words(1000 + i // 4, 60), i, i % 4)) for i in range(60)]
+    got = near_dedup.components(frame(spark, rows), shingle=3, threshold_percent=85, node_bits=3).collect()
+    assert as_counts((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == as_counts(plain_components(rows, 3, 85))
+
+
 def test_near_duplicates_keep_one_row_of_a_group(spark):
     docs = frame(spark, odd_rows())
     kept = near_dedup.without_near_duplicates(docs)
