@@ -67,9 +67,10 @@ def _fourth_power(multiplier: int, divisor: int) -> str:
 
 READING_EXPRESSIONS = {
     "reading_id": "event_id",
-    # the event's time cut to whole seconds, spread over all days of a year
-    "datetime": "CAST(ts AS TIMESTAMP_NTZ) - make_dt_interval(0, 0, 0, date_part('SECOND', ts) % 1)"
-                " + make_dt_interval(CAST(event_id % 366 AS INT))",
+    # the event's time cut to whole seconds, spread over all days of a year; by parts, which is cheaper than
+    # interval arithmetic and does not depend on the session's time zone
+    "datetime": "CAST(date_add(CAST(ts AS DATE), CAST(event_id % 366 AS INT)) AS TIMESTAMP_NTZ)"
+                " + make_dt_interval(0, hour(ts), minute(ts), CAST(second(ts) AS DECIMAL(18, 6)))",
     "station": "event_type",
     "pm25": "CASE WHEN event_id % 97 = 0 THEN CAST(-999 AS DOUBLE)"
             " WHEN event_id % 101 = 0 THEN CAST(-1 AS DOUBLE)"
