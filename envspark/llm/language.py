@@ -54,7 +54,7 @@ FOLDS = 5
 SHARES = 4096
 PIECE = 2048
 # set on rows of the learned folds, judged by fits without them, against unlearned languages and random letters
-LEAST_FIT, LEAST_GAP, LEAST_NORM = 0.5, 0.5, 0.5
+LEAST_FIT, LEAST_GAP, LEAST_NORM = 0.5, 0.35, 0.5
 # what a row of the presence matrix counts as, besides its text
 ROW_BYTES = 4096
 
