@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +75,16 @@ def test_no_files_and_too_many_headers(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(csv_files, "MAX_HEADERS", 1)
     with pytest.raises(ValueError):
         csv_files.routed(spark, str(tmp_path / "two"))
+
+
+def test_features_of_text_parse_each_line_once(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    rows = [(i, datetime(2024, 1, 1 + i % 20, i % 24, 5, i % 60), "view, or\"not", i * 0.37) for i in range(400)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, event_type string, value double").write.parquet(
+        str(tmp_path / "events.parquet"))
+    found = entry.csv_features(spark, str(tmp_path))
+    assert "from_csv" not in found._jdf.queryExecution().optimizedPlan().toString()
+    plain = entry.queries()["features_full"](spark, str(tmp_path))
+    in_order = [[tuple(r) for r in df.select(*sorted(df.columns)).orderBy("reading_id").collect()] for df in (found, plain)]
+    assert in_order[0] == in_order[1] and len(in_order[0]) > 300
