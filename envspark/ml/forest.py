@@ -58,7 +58,10 @@ def final_assembler() -> VectorAssembler:
 
 def forest_pipeline(profile: str | Profile) -> Pipeline:
     p = profile_of(profile)
-    forest = RandomForestRegressor(labelCol="aqi", featuresCol="features", **p.forest)
+    # the fit remembers the node of every row in every tree, or each level would walk all rows down from the roots
+    # again; the trees stay the same. Ten levels need no checkpoint, which would write these nodes out
+    forest = RandomForestRegressor(labelCol="aqi", featuresCol="features", cacheNodeIds=True, checkpointInterval=-1,
+                                   **p.forest)
     return Pipeline(stages=[zone_indexer(), zone_encoder(), numeric_assembler(p), scaler(),
                             final_assembler(), forest])
 

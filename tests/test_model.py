@@ -110,3 +110,19 @@ def test_fit_reads_parts_by_rows_and_cores(spark, monkeypatch):
     parts, count = forest.fit_forest(rows, FULL)
     assert 13 <= parts <= 13 + cores and parts % cores == 0 and count == 5000
     assert forest.fit_forest(rows.coalesce(2), FULL) == (2, 5000)
+
+
+def test_fit_remembers_nodes_and_grows_the_same_trees(spark):
+    """Without remembered nodes each level walks all rows down from the roots again."""
+    noise = {c: (F.xxhash64(F.col("id"), F.lit(c)) % 1000).cast("double") for c in FULL.features}
+    rows = spark.range(1500).select(*[v.alias(c) for c, v in noise.items()], F.lit("Zone_East").alias("zone")
+                                    ).withColumn("aqi", F.col("pm25") + F.col("pm10") / 3).coalesce(2).cache()
+    pipe = forest.forest_pipeline(FULL)
+    trees = pipe.getStages()[-1]
+    assert trees.getCacheNodeIds() and trees.getCheckpointInterval() == -1
+    plain = pipe.copy()
+    plain.setStages([*pipe.getStages()[:-1], trees.copy({trees.cacheNodeIds: False})])
+    with_nodes, without = pipe.fit(rows).stages[-1], plain.fit(rows).stages[-1]
+    assert with_nodes.toDebugString.split("\n", 1)[1] == without.toDebugString.split("\n", 1)[1]
+    assert max(t.depth for t in with_nodes.trees) > 5
+    rows.unpersist()
